@@ -95,9 +95,8 @@ def tag_assignments(load) -> DataFrame | None:
     cows = load.target("cattle.cows")
     if cows is None:
         return None
-    for name in ("updated_at", "created_at"):
-        if name not in cows.columns:
-            cows = cows.withColumn(name, F.lit(None).cast("timestamp"))
+    dates = ("updated_at", "created_at", "entry_date", "start_date", "date_died", "sale_date", "date_archived")
+    cows = cows.withColumns({name: F.lit(None).cast("timestamp") for name in dates if name not in cows.columns})
     scope = ["farm"] if "farm" in cows.columns else []
     tag = F.concat_ws("/", *scope, "ear_tag") if scope else F.col("ear_tag")
     held = cows.where("ear_tag IS NOT NULL AND ear_tag <> ''").withColumn("_tag", tag)

@@ -22,7 +22,7 @@ def estimated_bytes(df: DataFrame) -> int | None:
     plan = getattr(df, "_jdf", None)
     if plan is None:
         return None
-    return int(plan.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -64,13 +64,18 @@ def left_lookup(
     how: str = "left",
     sample: float = SAMPLE,
     salted: bool | None = None,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Join `facts` to `lookup` (one row per key) on equally named columns. Rows of facts are kept as they are."""
+    """Join `facts` to `lookup` (one row per key) on equally named columns. Rows of facts are kept as they are.
+
+    `keys_from` is a cheaper frame with the same keys to look for frequent ones in: in a chain of lookups, the
+    table the chain starts from.
+    """
     if salted is None:
         salted = not fits_broadcast(lookup)
     if not salted:
         return facts.join(lookup, list(on), how)
-    hot = hot_keys(facts, on, sample=sample).withColumn("_hot", F.lit(True))
+    hot = hot_keys(facts if keys_from is None else keys_from, on, sample=sample).withColumn("_hot", F.lit(True))
     known = F.lit(True)
     for key in on:
         known = known & F.col(key).isNotNull()

@@ -47,8 +47,10 @@ def chain(codes: DataFrame, code: str, label: str, named: DataFrame, name: str,
 def null_unknown(df: DataFrame, columns: Sequence[str], ids: DataFrame, id_column: str) -> DataFrame:
     """Null the listed references that are not among the ids."""
     known = ids.select(F.col(id_column).alias("_key")).dropna().dropDuplicates().withColumn("_value", F.lit(True))
+    base = df
     for column in columns:
-        joined = left_lookup(df.withColumn("_key", F.col(column)), known, ["_key"])
+        keys = base.select(F.col(column).alias("_key"))
+        joined = left_lookup(df.withColumn("_key", F.col(column)), known, ["_key"], keys_from=keys)
         df = joined.withColumn(column, F.when(F.col("_value"), F.col(column))).drop("_key", "_value")
     return df
 

@@ -19,6 +19,9 @@ from millrace.sources.readers import unite_farms
 from millrace.sources.sinks import LOG_SCHEMA, TargetStore
 from millrace.spec import Reference, TableSpec, select_specs
 
+# log rows written together; a lost driver costs at most the last of them
+LOG_BATCH = 20
+
 # target, name of the derived source, rows given a reader of this run's targets and of source tables
 Derivation = tuple[str, str, int, Callable[["Load"], DataFrame | None]]
 
@@ -97,6 +100,7 @@ def run(
         order_of[spec.target] = max(order_of[spec.target], spec.order)
     farm_text = ",".join(farms) if farms else None
     rows: list[tuple] = []
+    pending: list[tuple] = []
     steps = sorted(
         [(s.order, 0, s) for s in chosen] + [(d[2], 1, d) for d in derivations if tables is None],
         key=lambda step: step[:2],
@@ -117,8 +121,11 @@ def run(
         if values is None:
             continue
         rows.append(_log_row(run_id, name, target, started, farm_text, **values))
-        if not dry_run:
-            store.append_log(spark.createDataFrame(rows[-1:], LOG_SCHEMA).coalesce(1))
+        pending.append(rows[-1])
+        if not dry_run and len(pending) >= LOG_BATCH:
+            _flush(spark, store, pending)
+    if not dry_run:
+        _flush(spark, store, pending)
     for name in raw_tables if tables is None else [t for t in raw_tables if t.lower() in {x.lower() for x in tables}]:
         started = datetime.now(timezone.utc)
         df = load.table(name)
@@ -132,11 +139,19 @@ def run(
         rows.append(
             _log_row(run_id, name, "raw", started, farm_text, status="completed", rows_read=read, rows_written=written)
         )
-        if not dry_run:
-            store.append_log(spark.createDataFrame(rows[-1:], LOG_SCHEMA).coalesce(1))
+        pending.append(rows[-1])
+    if not dry_run:
+        _flush(spark, store, pending)
     return spark.createDataFrame(rows, LOG_SCHEMA)
 
 
+def _flush(spark: SparkSession, store: TargetStore, pending: list[tuple]) -> None:
+    """Append waiting log rows; their tables become the current ones with that."""
+    if pending:
+        store.append_log(spark.createDataFrame(pending, LOG_SCHEMA).coalesce(1))
+        pending.clear()
+
+
 def _load_one(load: Load, spec: TableSpec, shared: Sequence[Reference], declared, run_id: int) -> dict | None:
     source = load.table(spec.source, spec.database)
     if source is None:

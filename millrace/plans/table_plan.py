@@ -97,6 +97,7 @@ def _resolve(
     """Join every reference that applies; returns the frame, the new target columns and the orphan test."""
     orphan = F.lit(False)
     out = dict(columns)
+    base = df
     for i, ref in enumerate(references):
         if ref.column not in columns:
             continue
@@ -106,8 +107,13 @@ def _resolve(
         legacy = columns[ref.column]
         dtype = df.select(legacy.alias("c")).schema["c"].dataType
         found = f"_found{i}"
-        keyed = df.withColumn("_key", comparable(legacy, dtype, ref.names))
-        df = left_lookup(keyed, mapping.withColumnRenamed("_value", found), [*scope, "_key"]).drop("_key")
+        key = comparable(legacy, dtype, ref.names)
+        df = left_lookup(
+            df.withColumn("_key", key),
+            mapping.withColumnRenamed("_value", found),
+            [*scope, "_key"],
+            keys_from=base.withColumn("_key", key),
+        ).drop("_key")
         hit = F.col(found)
         into = ref.into or ref.column
         if ref.value or ref.build:
@@ -201,7 +207,8 @@ def _with_ids(shaped: DataFrame, spec: TableSpec, scope: list[str], before: Data
     usable = before is not None and all(c in before.columns for c in [*natural, spec.surrogate.column])
     good = shaped.where("_reason IS NULL")
     ids = assign_ids(good, before if usable else None, natural, spec.surrogate.column)
-    return left_lookup(shaped, ids, natural)
+    # a natural key names one good row, so the join has no frequent keys
+    return left_lookup(shaped, ids, natural, salted=False)
 
 
 def reason_class(reason: Column) -> Column:
