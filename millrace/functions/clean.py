@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TEXT = T.StringType()
+DATES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 # The white space a text trim removes, and the number and date forms that are read.
 WHITESPACE_CODES = [*range(0x09, 0x0E), 0x20, 0xA0, 0x1680, *range(0x2000, 0x200B)]
@@ -76,7 +77,7 @@ def to_num(value: Column | str, dtype: T.DataType = TEXT) -> Column:
         return c
     if isinstance(dtype, T.BooleanType):
         return c.cast("int").cast("double")
-    if isinstance(dtype, (T.DateType, T.TimestampType)):
+    if isinstance(dtype, DATES):
         return F.unix_millis(c.cast("timestamp")).cast("double")
     if not isinstance(dtype, T.StringType):
         return F.lit(None).cast("double")
@@ -92,7 +93,7 @@ def to_fk_id(value: Column | str, dtype: T.DataType = TEXT) -> Column:
 def to_timestamp(value: Column | str, dtype: T.DataType = TEXT) -> Column:
     """Timestamp from a typed date, day-first text (checked against the calendar) or ISO text."""
     c = _column(value)
-    if isinstance(dtype, (T.DateType, T.TimestampType)):
+    if isinstance(dtype, DATES):
         return c.cast("timestamp")
     if isinstance(dtype, T.NumericType):
         return F.when(c != 0, F.timestamp_millis(c.cast("long")))

@@ -69,7 +69,7 @@ def kind_of(dtype: T.DataType) -> str:
         return "bool"
     if isinstance(dtype, T.NumericType):
         return "num"
-    if isinstance(dtype, (T.DateType, T.TimestampType)):
+    if isinstance(dtype, clean.DATES):
         return "date"
     if isinstance(dtype, T.BinaryType):
         return "binary"

@@ -21,6 +21,8 @@ def row_json(df: DataFrame, columns: list[str] | None = None) -> Column:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.BinaryType):
             c = F.when(c.isNotNull(), F.concat(F.lit("[BINARY "), F.octet_length(c).cast("string"), F.lit(" bytes]")))
+        elif isinstance(f.dataType, T.TimestampNTZType):
+            c = c.cast("timestamp")
         chosen.append(c.alias(f.name))
     return F.to_json(F.struct(*chosen), JSON_OPTIONS)
 

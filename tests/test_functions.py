@@ -79,6 +79,13 @@ def test_to_timestamp(spark):
     assert results(spark, fn.to_timestamp, ["1/1/2024 10:75"]) == [datetime(2024, 1, 1, 11, 15)]
 
 
+def test_typed_dates(spark):
+    df = spark.sql("SELECT timestamp_ntz'2024-01-02 03:04:05' AS a, date'2024-01-02' AS b, 0 AS c, 1000 AS d")
+    out = df.select(*[fn.to_timestamp(F.col(f.name), f.dataType).alias(f.name) for f in df.schema.fields]).first()
+    assert list(out) == [datetime(2024, 1, 2, 3, 4, 5), datetime(2024, 1, 2), None, datetime(1970, 1, 1, 0, 0, 1)]
+    assert kind_of(df.schema["a"].dataType) == "date"
+
+
 def test_to_time(spark):
     values = ["18.00", "4;00", "14:30", "14:30:15", "24:00", "9", "", None, "10,15", "1:2:3", ":5:", "aa:00"]
     expected = ["18:00:00", "04:00:00", "14:30:00", "14:30:15", None, None, None, None, "10:15:00", "01:02:03", None, None]
@@ -141,7 +148,7 @@ def test_names(spark):
     assert out[0]["key"] == "LEGACY-1"
 
 
-@pytest.mark.parametrize("dtype", ["string", "double", "int", "boolean", "timestamp", "binary", "decimal(19,4)"])
+@pytest.mark.parametrize("dtype", ["string", "double", "int", "boolean", "timestamp", "timestamp_ntz", "binary", "decimal(19,4)"])
 def test_null_never_fails(spark, dtype):
     df = spark.createDataFrame([(None,)], f"v {dtype}")
     df.select(*[f(F.col("v"), df.schema["v"].dataType).alias(kind) for kind, f in KINDS.items()]).collect()
