@@ -17,9 +17,10 @@ DATES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 # The white space a text trim removes, and the number and date forms that are read.
 WHITESPACE_CODES = [*range(0x09, 0x0E), 0x20, 0xA0, 0x1680, *range(0x2000, 0x200B)]
 WHITESPACE_CODES += [0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF]
-WHITESPACE = "[" + "".join("\\x{%X}" % code for code in WHITESPACE_CODES) + "]"
+WHITESPACE = "".join(chr(code) for code in WHITESPACE_CODES)
 NUMBER_FORM = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?Infinity$"
-DAY_FIRST_FORM = r"^(\d{1,2})/(\d{1,2})/(\d{4})(?:[ T](\d{1,2}):(\d{2})(?::(\d{2}))?)?$"
+DAY_FIRST_FORM = r"^(\d{1,2})/(\d{1,2})/((?!00)\d{4})(?:[ T](\d{1,2}):(\d{2})(?::(\d{2}))?)?$"
+HOUR_MINUTE = r"[ T]([01]?\d|2[0-3]):[0-5]\d"
 ISO_FORM = r"^\d{4}(-\d{1,2}(-\d{1,2}([ T]\d{1,2}:\d{2}.*)?)?)?$"
 
 
@@ -28,7 +29,7 @@ def _column(value: Column | str) -> Column:
 
 
 def trimmed(value: Column | str) -> Column:
-    return F.regexp_replace(_column(value), f"^{WHITESPACE}+|{WHITESPACE}+$", "")
+    return F.btrim(_column(value), F.lit(WHITESPACE))
 
 
 def canonical_text(value: Column | str, dtype: T.DataType = TEXT) -> Column:
@@ -46,7 +47,7 @@ def canonical_text(value: Column | str, dtype: T.DataType = TEXT) -> Column:
 
 
 def trim_or_null(value: Column | str, dtype: T.DataType = TEXT) -> Column:
-    text = F.translate(canonical_text(value, dtype), "\0", "")
+    text = F.replace(canonical_text(value, dtype), F.lit("\0"), F.lit(""))
     return F.nullif(trimmed(text), F.lit(""))
 
 
@@ -101,21 +102,23 @@ def to_timestamp(value: Column | str, dtype: T.DataType = TEXT) -> Column:
         return F.lit(None).cast("timestamp")
     text = trimmed(c)
 
-    def part(index: int) -> Column:
-        return F.regexp_extract(text, DAY_FIRST_FORM, index)
-
-    def number(index: int) -> Column:
-        return F.coalesce(part(index).try_cast("int"), F.lit(0))
-
-    day = F.concat(part(3), F.lit("-"), F.lpad(part(2), 2, "0"), F.lit("-"), F.lpad(part(1), 2, "0"))
-    seconds = number(4) * 3600 + number(5) * 60 + number(6)
-    midnight = day.try_cast("date").cast("timestamp")
-    day_first = F.when(
-        (seconds < 86400) & (number(3) >= 100),
-        midnight + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)")),
+    def rewritten(form: str) -> Column:
+        return F.regexp_replace(text, DAY_FIRST_FORM, form)
+
+    midnight = rewritten("$3-$2-$1").try_cast("date").cast("timestamp")
+    # minutes or seconds past 59 roll over within the day
+    clock = F.split(rewritten("$4:$5:0$6"), ":")
+    hours, minutes, seconds = (F.get(clock, F.lit(i)).try_cast("int") for i in range(3))
+    passed = hours * 3600 + minutes * 60 + seconds
+    rolled = F.timestamp_seconds(F.unix_seconds(midnight) + F.when(passed < 86400, passed))
+    day_first = (
+        F.when(~text.contains(":"), midnight)
+        .when(text.rlike(HOUR_MINUTE + "$"), rewritten("$3-$2-$1 $4:$5:00").try_cast("timestamp"))
+        .when(text.rlike(HOUR_MINUTE + r":[0-5]\d$"), rewritten("$3-$2-$1 $4:$5:$6").try_cast("timestamp"))
+        .otherwise(rolled)
     )
     iso = F.when(text.rlike(ISO_FORM), text.try_cast("timestamp"))
-    return F.when(text.rlike(DAY_FIRST_FORM), day_first).otherwise(iso)
+    return F.when(text.contains("/"), F.when(text.rlike(DAY_FIRST_FORM), day_first)).otherwise(iso)
 
 
 def to_time(value: Column | str, dtype: T.DataType = TEXT) -> Column:

@@ -70,7 +70,8 @@ def current_assignments(
 def cached_counts(parents: DataFrame, key: str, members: DataFrame, foreign_key: str, keep: Column, out: str) -> DataFrame:
     """Members per parent that pass `keep`; parents without any get zero."""
     counts = members.where(keep).groupBy(F.col(foreign_key).alias(key)).agg(F.count(F.lit(1)).alias(out))
-    return left_lookup(parents, counts, [key]).withColumn(out, F.coalesce(out, F.lit(0)))
+    # a parent occurs once, so the join has no frequent keys
+    return left_lookup(parents, counts, [key], salted=False).withColumn(out, F.coalesce(out, F.lit(0)))
 
 
 __all__ = [

@@ -69,15 +69,24 @@ def having(parent: DataFrame, key: str, child: DataFrame, foreign_key: str, pres
 
 
 def missing_parents(
-    facts: DataFrame, reference: Column, parents: DataFrame, name: str, id_column: str, normalise=upper_name
+    facts: DataFrame,
+    reference: Column,
+    parents: DataFrame,
+    name: str,
+    id_column: str,
+    normalise=upper_name,
+    scope: Sequence[str] = (),
 ) -> DataFrame:
-    """New parent rows (name, id) for names that facts refer to and no parent has, numbered after the largest id."""
-    wanted = facts.select(reference.alias(name)).where(normalise(F.col(name)).isNotNull())
-    wanted = wanted.withColumn("_norm", normalise(F.col(name))).groupBy("_norm").agg(F.min(name).alias(name))
-    have = parents.select(normalise(F.col(name)).alias("_norm")).dropna().dropDuplicates()
-    absent = wanted.join(have, "_norm", "left_anti").select(name)
+    """New parent rows (name, id) for names that facts refer to and no parent has, numbered after the largest id.
+
+    Names are told apart within `scope` (the farm, in a run over several).
+    """
+    wanted = facts.select(*scope, reference.alias(name)).where(normalise(F.col(name)).isNotNull())
+    wanted = wanted.withColumn("_norm", normalise(F.col(name))).groupBy(*scope, "_norm").agg(F.min(name).alias(name))
+    have = parents.select(*scope, normalise(F.col(name)).alias("_norm")).dropna().dropDuplicates()
+    absent = wanted.join(have, [*scope, "_norm"], "left_anti").select(*scope, name)
     highest = parents.agg(F.max(id_column)).first()[0] or 0
-    return number_rows(absent, [name], id_column, highest)
+    return number_rows(absent, [*scope, name], id_column, highest)
 
 
 def fill_nulls(target: DataFrame, updates: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.joins import left_lookup
-from millrace.operators.resolve import having, lookup
+from millrace.operators.resolve import having
 
 
 def unpivot_slots(
@@ -52,28 +52,29 @@ def split_header_steps(
     parent_legacy: str = "disease_id",
     parent_name: str = "disease_name",
     item_legacy: str = "drug_id",
+    scope: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Split flat step rows (parent, day, item, dose, by_weight) into headers, steps and rows left as they are.
 
     Each parent found by its legacy id gets one header, unless `existing` already holds one for it; its rows
-    become steps of that header. Rows whose parent is unknown are handed back.
+    become steps of that header. Rows whose parent is unknown are handed back. Legacy ids hold within `scope`.
     """
-    parent = parents.select(
-        F.col(parent_legacy).alias("_legacy"), F.col("id").alias("parent_id"), F.trim(F.col(parent_name)).alias("name")
-    ).where(F.col("_legacy").isNotNull())
-    parent = parent.groupBy("_legacy").agg(F.max(F.struct("parent_id", "name")).alias("_p"))
-    parent = parent.select("_legacy", "_p.*")
-    joined = left_lookup(rows.withColumn("_legacy", F.col("parent")), parent, ["_legacy"]).drop("_legacy")
+    scope = list(scope)
+    parent = parents.where(F.col(parent_legacy).isNotNull()).groupBy(*scope, F.col(parent_legacy).alias("_legacy"))
+    parent = parent.agg(F.max(F.struct(F.col("id").alias("parent_id"), F.trim(F.col(parent_name)).alias("name"))).alias("_p"))
+    parent = parent.select(*scope, "_legacy", "_p.*")
+    joined = left_lookup(rows.withColumn("_legacy", F.col("parent")), parent, [*scope, "_legacy"]).drop("_legacy")
     unmatched = joined.where(F.col("parent_id").isNull()).drop("parent_id", "name")
     matched = joined.where(F.col("parent_id").isNotNull())
-    headers = matched.groupBy("parent_id").agg(
+    headers = matched.groupBy(*scope, "parent_id").agg(
         F.max("name").alias("name"),
         F.max("day").alias("days"),
         F.bool_or(F.coalesce("by_weight", F.lit(False))).alias("by_weight"),
     )
     if existing is not None:
         headers = having(headers, "parent_id", existing, "parent_id", present=False)
-    item_ids = lookup(items, item_legacy, "id")
-    steps = left_lookup(matched.withColumn("_key", F.col("item")), item_ids, ["_key"])
-    steps = steps.select("parent_id", step_day(F.col("day")).alias("day_number"), F.col("_value").alias("item_id"), "dose")
-    return headers, steps, unmatched
+    item_ids = items.where(F.col(item_legacy).isNotNull()).groupBy(*scope, F.col(item_legacy).alias("_key"))
+    item_ids = item_ids.agg(F.max("id").alias("item_id"))
+    keys = rows.withColumn("_key", F.col("item"))
+    steps = left_lookup(matched.withColumn("_key", F.col("item")), item_ids, [*scope, "_key"], keys_from=keys)
+    return headers, steps.select(*scope, "parent_id", step_day(F.col("day")).alias("day_number"), "item_id", "dose"), unmatched

@@ -20,7 +20,7 @@ from millrace.functions.names import upper_name
 from millrace.operators.joins import left_lookup
 from millrace.operators.merge import mark_conflicts
 from millrace.operators.rank import assign_ids, first_per_key
-from millrace.sources.raw import row_json
+from millrace.sources.raw import row_json, row_struct
 from millrace.spec import Reader, Reference, TableSpec, target_name
 
 REASONS = ("junk", "orphan", "validate", "conflict", "rule")
@@ -72,20 +72,29 @@ def target_columns(spec: TableSpec, schema: T.StructType, declared: T.StructType
     return out
 
 
-def reference_mapping(ref: Reference, reader: Reader, scope: Sequence[str]) -> DataFrame | None:
-    """(scope..., _key, _value), one row per key, keys as comparable text."""
+def reference_mapping(ref: Reference, reader: Reader, scope: Sequence[str], whole: bool = False) -> DataFrame | None:
+    """(scope..., _key, _value), one row per key; keys as whole numbers if `whole`, else as comparable text."""
     if ref.build:
         return ref.build(reader, list(scope))
     parent = reader(ref.target)
     if parent is None or ref.key not in parent.columns:
         return None
-    key = comparable(_ref(ref.key), parent.schema[ref.key].dataType, ref.names)
+    key = comparable(_ref(ref.key), parent.schema[ref.key].dataType, ref.names, whole)
     value = _ref(ref.value) if ref.value else F.lit(True)
     rows = parent.select(*scope, key.alias("_key"), value.alias("_value")).where("_key IS NOT NULL")
     return rows.groupBy(*scope, "_key").agg(F.max("_value").alias("_value"))
 
 
-def comparable(c: Column, dtype: T.DataType, names: bool = False) -> Column:
+def both_whole(ref: Reference, parent: DataFrame | None, dtype: T.DataType) -> bool:
+    """Whether both ends of a reference are whole numbers and can be compared without going through text."""
+    if ref.build or ref.names or parent is None or ref.key not in parent.columns:
+        return False
+    return isinstance(dtype, T.IntegralType) and isinstance(parent.schema[ref.key].dataType, T.IntegralType)
+
+
+def comparable(c: Column, dtype: T.DataType, names: bool = False, whole: bool = False) -> Column:
+    if whole:
+        return c.cast("long")
     if names:
         return upper_name(canonical_text(c, dtype))
     return F.nullif(trimmed(canonical_text(c, dtype)), F.lit(""))
@@ -101,13 +110,14 @@ def _resolve(
     for i, ref in enumerate(references):
         if ref.column not in columns:
             continue
-        mapping = reference_mapping(ref, reader, scope)
-        if mapping is None:
-            continue
         legacy = columns[ref.column]
         dtype = df.select(legacy.alias("c")).schema["c"].dataType
+        whole = both_whole(ref, None if ref.build else reader(ref.target), dtype)
+        mapping = reference_mapping(ref, reader, scope, whole)
+        if mapping is None:
+            continue
         found = f"_found{i}"
-        key = comparable(legacy, dtype, ref.names)
+        key = comparable(legacy, dtype, ref.names, whole)
         df = left_lookup(
             df.withColumn("_key", key),
             mapping.withColumnRenamed("_value", found),
@@ -153,7 +163,7 @@ def plan(
         df = first_per_key(df, [*scope, *spec.latest.key], newest)
 
     raw_columns = [c for c in source.columns if not c.startswith("_")]
-    raw = row_json(df, raw_columns)
+    raw = row_struct(df, raw_columns)
     columns = target_columns(spec, df.schema, declared)
     columns |= {name: hook(df) for name, hook in spec.derive.items()}
     columns |= {name: F.lit(value) for name, value in spec.static.items()}
@@ -192,7 +202,8 @@ def plan(
     frame = shaped.select(
         *[_ref(n) for n in names],
         "_reason",
-        F.when(rejected, F.col("_raw")).alias("_raw"),
+        # only rejected rows are turned into JSON
+        F.when(rejected, row_json(F.col("_raw"))).alias("_raw"),
         F.when(rejected, "rejected").otherwise("good").alias("_disposition"),
     )
     return Planned(frame, read, missing)

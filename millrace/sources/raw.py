@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 JSON_OPTIONS = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"}
 
 
-def row_json(df: DataFrame, columns: list[str] | None = None) -> Column:
-    """The row as JSON with nulls kept; binary cells are replaced by their size."""
+def row_struct(df: DataFrame, columns: list[str] | None = None) -> Column:
+    """The row as one struct, ready for JSON; binary cells are replaced by their size."""
     chosen = []
     for f in df.schema.fields:
         if columns is not None and f.name not in columns:
@@ -24,11 +24,16 @@ def row_json(df: DataFrame, columns: list[str] | None = None) -> Column:
         elif isinstance(f.dataType, T.TimestampNTZType):
             c = c.cast("timestamp")
         chosen.append(c.alias(f.name))
-    return F.to_json(F.struct(*chosen), JSON_OPTIONS)
+    return F.struct(*chosen)
+
+
+def row_json(row: Column) -> Column:
+    """JSON of a row struct, nulls kept."""
+    return F.to_json(row, JSON_OPTIONS)
 
 
 def capture_raw(df: DataFrame, source_table: str) -> DataFrame:
-    return df.select(F.lit(source_table).alias("source_table"), row_json(df).alias("row_data"))
+    return df.select(F.lit(source_table).alias("source_table"), row_json(row_struct(df)).alias("row_data"))
 
 
 def capture_raw_tables(tables: Mapping[str, DataFrame]) -> DataFrame:

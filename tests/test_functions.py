@@ -157,3 +157,17 @@ def test_null_never_fails(spark, dtype):
 def test_kind_of():
     assert kind_of(T.DecimalType(19, 4)) == "num"
     assert kind_of(T.ArrayType(T.StringType())) == "keep"
+
+
+def test_timestamp_edges(spark):
+    values = ["1/1/2024 9:30", "1/1/0050", "1/1/2024T23:59:59", "1/1/2024 00:00:75", "1/1/2024 23:59:75", "2024-01-01 10:20", "2024"]
+    expected = [
+        datetime(2024, 1, 1, 9, 30),
+        None,
+        datetime(2024, 1, 1, 23, 59, 59),
+        datetime(2024, 1, 1, 0, 1, 15),
+        None,
+        datetime(2024, 1, 1, 10, 20),
+        datetime(2024, 1, 1),
+    ]
+    assert results(spark, fn.to_timestamp, values) == expected
