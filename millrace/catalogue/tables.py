@@ -162,8 +162,12 @@ def _animal_status(df: DataFrame) -> Column:
     return codes.lifecycle_status(*[F.col(n) for n in names], tuple(df.schema[n].dataType for n in names))
 
 
+def _scope(df: DataFrame) -> list[str]:
+    return ["farm"] if "farm" in df.columns else []
+
+
 def _named_drugs(df: DataFrame) -> DataFrame:
-    return disambiguate(df, "Drug_Name", "Drug_ID", "Drug_Name", "Unknown", "Unknown Drug ")
+    return disambiguate(df, "Drug_Name", "Drug_ID", "Drug_Name", "Unknown", "Unknown Drug ", _scope(df))
 
 
 def _keyed_lots(df: DataFrame) -> DataFrame:
@@ -172,8 +176,7 @@ def _keyed_lots(df: DataFrame) -> DataFrame:
 
 def _coded_rations(df: DataFrame) -> DataFrame:
     """Codes above 20000 in name order, clear of the feed system's own codes."""
-    order = ["farm", "Ration_name"] if "farm" in df.columns else ["Ration_name"]
-    return number_rows(df, order, "Ration_Code", 20000)
+    return number_rows(df, [*_scope(df), "Ration_name"], "Ration_Code", 20000)
 
 
 MODIFIED = {"Last_Modified_timestamp": ("legacy_modified_at",)}

@@ -84,18 +84,24 @@ def assign_ids(candidates: DataFrame, existing: DataFrame | None, natural: Seque
 
 
 def disambiguate(
-    df: DataFrame, name: str, row_id: str, out: str, repeated_as: str = "Unknown", single_as: str = "Unknown "
+    df: DataFrame,
+    name: str,
+    row_id: str,
+    out: str,
+    repeated_as: str = "Unknown",
+    single_as: str = "Unknown ",
+    scope: Sequence[str] = (),
 ) -> DataFrame:
     """Make names unique: 'X' held twice (letter case aside) becomes 'X (ID:n)'.
 
-    Missing names count as equal; several become `repeated_as` (ID:n), a single one `single_as` + its id.
+    Names repeat within `scope`. Missing names count as equal; several become `repeated_as` (ID:n), a single one `single_as` + its id.
     """
     trimmed = F.trim(F.col(name))
     id_text = F.col(row_id).cast("string")
     keyed = df.withColumn("_missing", F.col(name).isNull()).withColumn("_name", F.coalesce(F.upper(trimmed), F.lit("")))
-    counts = keyed.groupBy("_missing", "_name").count().where(F.col("count") > 1)
-    repeated = counts.select("_missing", "_name", F.lit(True).alias("_repeated"))
-    joined = left_lookup(keyed, repeated, ["_missing", "_name"])
+    keys = [*scope, "_missing", "_name"]
+    repeated = keyed.groupBy(*keys).count().where(F.col("count") > 1).select(*keys, F.lit(True).alias("_repeated"))
+    joined = left_lookup(keyed, repeated, keys)
     tagged = F.concat(F.coalesce(trimmed, F.lit(repeated_as)), F.lit(" (ID:"), id_text, F.lit(")"))
     single = F.coalesce(trimmed, F.concat(F.lit(single_as), id_text))
     named = F.when(F.col("_repeated"), tagged).otherwise(single)
