@@ -109,6 +109,73 @@ PLACES: dict[tuple[int, str, str], str] = {
 # Feeding programmes, each with a table of details and one of regimens.
 FEEDING_VARIANTS = ("GE150", "L150", "Plateau", "ShortFeed", "WAGYU")
 
+# Columns a target row must have, per target.
+REQUIRED: dict[str, str] = {
+    "cattle.breeds": "name",
+    "cattle.cattle_program_types": "program_id program_code",
+    "cattle.trial_description": "trial_no",
+    "cattle.location_types": "name",
+    "cattle.batch_update_log": "date_done",
+    "health.drug_inventory_events": "event_id event_date",
+    "health.drug_inventory_line_items": "event_id",
+    "health.sickness_result_codes": "sickness_result_code",
+    "health.sb_rec_no_booked": "sb_rec_no_booked",
+    "health.resp_disease_retreats": "drug_count head deaths",
+    "health.drug_purchase_events": "drug_receival_id date_received",
+    "health.sick_beast_brd_symptoms": "sb_rec_no",
+    "feed.rations": "ration_code ration_name",
+    "feed.feeding_time_data": "feed_date",
+    "feed.feeding_time_taken_by_ration_type": "feed_date",
+    "feed.penfeedsdata": "feed_date",
+    "feed.feeddb_pens_file": "pen_name",
+    "feed.cattle_feed_updates": "feed_date",
+    "pen.pens": "name",
+    "pen.penshistory": "movedate",
+    "pen.penriders_log": "date_pen_checked",
+    "finance.costs_feed_detail": "date_fed",
+    "finance.custfeed_lot_summary": "purch_lot_no",
+    "carcase.marbling_bonus": "marbling_score",
+    "carcase.carc_feedback_compliance": "supplier_id",
+    "carcase.carc_feedback_mth_avgs": "yr_mnth",
+    "purchasing.purchase_lots": "lot_number",
+    "commodity.commodtrans": "trans_date",
+    "transport.truck_names": "truck_name",
+    "transport.truck_loads": "load_date",
+    "transport.locations": "location_name",
+    "transport.location_changes": "movement_date",
+    "transport.deliverydockets": "docket_date",
+    "contacts.company": "company_name",
+    "contacts.contacttypes": "contact_type",
+    "contacts.contactscontacttypes": "contact_id contact_type_id",
+    "system.lookups": "category code",
+    "system.transaction_types": "trans_type_id",
+    "system.computer_names": "computer_name",
+    "digistar.digistar_data_history": "feed_date",
+}
+
+# What a column may hold, per target; a null passes.
+ALLOWED: dict[str, dict[str, str]] = {
+    "cattle.cows": {
+        "sex": "sex IN ('heifer', 'cow', 'steer', 'bull')",
+        "status": "status IN ('active', 'sold', 'died', 'archived')",
+        "start_weight_kg": "start_weight_kg >= 0",
+        "sale_weight_kg": "sale_weight_kg >= 0",
+        "carcase_weight_kg": "carcase_weight_kg >= 0",
+    },
+    "weighing.weighing_events": {
+        "weigh_type": "weigh_type IN ('intake', 'interim', 'exit', 'sale')",
+        "weight": "weight >= 0",
+    },
+    "finance.cost_codes": {"type": "type IN ('revenue', 'expense')"},
+    "contacts.contacts": {
+        "type": "type IN ('vendor', 'agent', 'buyer', 'abattoir', 'carrier', 'agistor', 'customer-feeder', 'other')"
+    },
+    "feed.rations": {"dry_matter_pcnt": "dry_matter_pcnt BETWEEN 0 AND 100"},
+    "feed.ration_recipe_records": {"pcnt_of_ration": "pcnt_of_ration BETWEEN 0 AND 100"},
+    "commodity.commodities": {"shrinkage_factor": "shrinkage_factor BETWEEN 0 AND 1"},
+    "system.transaction_types": {"trans_effect": "trans_effect IN ('+', '-')"},
+}
+
 # Tables whose target columns split names at capitals.
 SPLIT_AT_CAPITALS = frozenset(
     """Carcase_data Beast_Cull_Reasons Cust_Feed_Charges Chemical_inventory Chemical_inventory_old Location_Changes
@@ -176,7 +243,7 @@ def _keyed_lots(df: DataFrame) -> DataFrame:
 
 def _coded_rations(df: DataFrame) -> DataFrame:
     """Codes above 20000 in name order, clear of the feed system's own codes."""
-    return number_rows(df, [*_scope(df), "Ration_name"], "Ration_Code", 20000)
+    return number_rows(df, ["Ration_name"], "Ration_Code", 20000, _scope(df))
 
 
 MODIFIED = {"Last_Modified_timestamp": ("legacy_modified_at",)}
@@ -335,10 +402,6 @@ DETAILS: dict[str, dict] = {
         },
         "derive": {"status": _animal_status},
         "references": (refs.PEN_ROW, refs.LOT_ROW),
-        "rules": (
-            Rule("sex", lambda: F.col("sex").isin("steer", "bull", "cow", "heifer")),
-            Rule("status", lambda: F.col("status").isin("active", "sold", "died", "archived")),
-        ),
         "unique": (
             Unique(("legacy_beast_id",)),
             Unique(("replace(eid, ' ', '')",), "status = 'active' AND eid IS NOT NULL AND replace(eid, ' ', '') <> ''"),
@@ -357,7 +420,6 @@ DETAILS: dict[str, dict] = {
         "kind": {"weigh_type": "weigh_type", "weigh_date": "event_date", "time_weighed": "text"},
         "expect": ("Weigh_date",),
         "validate": "weight IS NOT NULL",
-        "rules": (Rule("weigh_type", lambda: F.col("weigh_type").isin("intake", "interim", "exit", "sale")),),
     },
     "PensHistory": {
         "rename": BEAST,
@@ -743,11 +805,16 @@ DETAILS: dict[str, dict] = {
 }
 
 
+def _allowed(target: str) -> tuple[Rule, ...]:
+    return tuple(Rule(c, text, c) for c, text in ALLOWED.get(target, {}).items())
+
+
 def _spec(order: int, database: str, source: str, target: str) -> TableSpec:
     found = DETAILS.get(f"{source}->{target}") or DETAILS.get(source) or {}
     details = dict(found)
     details["rename"] = {"ID": "legacy_id", **details.get("rename", {})} if "ID" not in details.get("rename", {}) else details["rename"]
-    details["mirror"] = details.get("mirror", {})
+    details["required"] = tuple(REQUIRED.get(target, "").split())
+    details["rules"] = _allowed(target)
     without = tuple(details.get("without", ()))
     details["without"] = without if source in ANIMAL_TABLES else (*without, "cattle.cows")
     return TableSpec(source, target, order, database, split_words=source in SPLIT_AT_CAPITALS, **details)

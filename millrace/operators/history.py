@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.joins import left_lookup
 from millrace.operators.merge import insert_ignoring
-from millrace.operators.rank import first_per_key
+from millrace.operators.rank import first_per_key, number_rows
 
 
 def mirror_moves(moves: DataFrame, history: DataFrame, key: str, day: str, place_id: str, place: str) -> DataFrame:
@@ -31,11 +31,10 @@ def undo_moves(history: DataFrame, undone: DataFrame, key: str, day: str, place_
     keys = [key, day, place_id]
     counts = undone.groupBy(*keys).agg(F.count(F.lit(1)).alias("_undo"))
     mirrored = history.where(F.col("reason") == "move")
-    touched = left_lookup(mirrored, counts, keys, "inner")
-    # only histories of undone moves are numbered, and a mirror holds a member, day and place once
-    numbered = touched.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(row_id)))
-    removed = numbered.where(F.col("_n") <= F.col("_undo")).select(row_id)
-    return left_lookup(history, removed, [row_id], "left_anti")
+    touched = left_lookup(mirrored, counts, keys, "inner").select(*keys, row_id, "_undo")
+    removed = number_rows(touched, [row_id], "_n", within=keys).where(F.col("_n") <= F.col("_undo")).select(row_id)
+    # row ids are unique, so the join has no frequent keys
+    return left_lookup(history, removed, [row_id], "left_anti", salted=False)
 
 
 def latest_open(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
@@ -56,7 +55,7 @@ def current_assignments(
     last = first_per_key(events, [member], order).select(
         member, F.col(holding).alias("_holding"), F.col(status).alias("_status"), held.alias("_held")
     )
-    joined = pairs.join(last, member)
+    joined = left_lookup(pairs, last, [member], "inner")
     active = F.col("_held") & (F.col("_holding") == F.col(holding))
     reason = (
         F.when(F.col("_held") & ~active, "retag")

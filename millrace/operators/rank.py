@@ -48,13 +48,14 @@ def flag_first(
     return final.select(*[F.col(f"`{c}`") for c in columns], first.alias(flag))
 
 
-def number_rows(df: DataFrame, order: Sequence[str], name: str, start: int = 0) -> DataFrame:
+def number_rows(df: DataFrame, order: Sequence[str], name: str, start: int = 0, within: Sequence[str] = ()) -> DataFrame:
     """Number all rows start+1, start+2, ... in the given order without sorting them in one task.
 
+    With `within` the numbers restart for each value of those columns, however many rows share it.
     Rows are range partitioned (an input row id splits runs of equal rows) and written down once; the
     partition sizes, one number per partition, then give each partition its offset.
     """
-    total = [*[F.col(c) for c in order], row_hash(df), F.col("_tie")]
+    total = [*[F.col(c) for c in [*within, *order]], row_hash(df), F.col("_tie")]
     sorted_parts = (
         df.withColumn("_tie", F.monotonically_increasing_id())
         .repartitionByRange(*total)
@@ -68,7 +69,12 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str, start: int = 0)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     numbered = fixed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
-    return numbered.withColumn(name, F.lit(start) + F.col("_offset") + place + 1).drop("_part", "_offset", "_at")
+    numbered = numbered.withColumn(name, F.lit(start) + F.col("_offset") + place + 1).drop("_part", "_offset", "_at")
+    if not within:
+        return numbered
+    firsts = numbered.groupBy(*within).agg(F.min(name).alias("_from"))
+    restarted = left_lookup(numbered, firsts, list(within))
+    return restarted.withColumn(name, F.col(name) - F.col("_from") + start + 1).drop("_from")
 
 
 def assign_ids(candidates: DataFrame, existing: DataFrame | None, natural: Sequence[str], id_column: str) -> DataFrame:

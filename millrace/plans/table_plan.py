@@ -1,8 +1,8 @@
 """One spec as one DataFrame plan.
 
-Order of work: source filter, newest row per key, schema-tolerant cleaning, reference joins, validation, unique
-keys, rules, generated ids. A row is rejected for the first reason that applies: junk, orphan, validate, conflict,
-rule. Joins happen on the source columns, before the target columns exist, so a shuffled row is not carried twice.
+Order of work: source filter, newest row per key, schema-tolerant cleaning, reference joins, validation, rules,
+unique keys, generated ids. A row is rejected for the first reason that applies: junk, orphan, validate, rule,
+conflict. Joins happen on the source columns, before the target columns exist, so a shuffled row is not carried twice.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from millrace.operators.rank import assign_ids, first_per_key
 from millrace.sources.raw import row_json, row_struct
 from millrace.spec import Reader, Reference, TableSpec, target_name
 
-REASONS = ("junk", "orphan", "validate", "conflict", "rule")
+REASONS = ("junk", "orphan", "validate", "rule", "conflict")
 
 
 @dataclass
@@ -170,7 +170,6 @@ def plan(
     if scope:
         columns["farm"] = F.col("farm")
     junk = F.coalesce(spec.skip(df), F.lit(False)) if spec.skip else F.lit(False)
-    order = [_ref(c).asc_nulls_first() for c in spec.sort]
 
     own = [r for r in shared if r.target not in spec.without and r.target != spec.target]
     df, columns, orphan = _resolve(df, columns, [*spec.references, *own], reader, scope)
@@ -186,15 +185,18 @@ def plan(
     if spec.validate:
         reason = F.coalesce(reason, F.when(~F.coalesce(F.expr(spec.validate), F.lit(False)), "validate"))
     shaped = shaped.withColumn("_reason", reason).drop("_early")
+    # a row that breaks a rule never reaches the target, so it takes no unique key either
+    tests = {r.name: F.expr(r.test) for r in spec.rules if r.column is None or r.column in names}
+    tests |= {f"required {c}": _ref(c).isNotNull() for c in spec.required if c in names}
+    for name, test in tests.items():
+        failed = ~F.coalesce(test, F.lit(True))
+        shaped = shaped.withColumn("_reason", F.coalesce("_reason", F.when(failed, f"rule:{name}")))
     if spec.unique:
         order = [F.col(name).asc_nulls_first() for name in sort_columns]
         uniques = [(tuple([*scope, *u.parts]), u.where) for u in spec.unique if all(_known(p, names) for p in u.parts)]
         if uniques:
             shaped = mark_conflicts(shaped, held, uniques, order, keep=F.col("_reason").isNull())
             shaped = shaped.withColumn("_reason", F.coalesce("_reason", F.when(F.col("_conflict"), "conflict")))
-    for rule in spec.rules:
-        failed = ~F.coalesce(rule.test(), F.lit(True))
-        shaped = shaped.withColumn("_reason", F.coalesce("_reason", F.when(failed, f"rule:{rule.name}")))
     if spec.surrogate and spec.surrogate.column not in names:
         shaped = _with_ids(shaped, spec, scope, before)
         names.append(spec.surrogate.column)

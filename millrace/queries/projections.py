@@ -133,8 +133,8 @@ def _judged(t):
         references=(Reference("l_orderkey", "orders", "o_orderkey", required=True),),
         validate="l_discount <= 0.08",
         rules=(
-            Rule("tax", lambda: F.col("l_tax") < 0.08),
-            Rule("price", lambda: F.col("l_extendedprice").between(1000, 90000)),
+            Rule("tax", "l_tax < 0.08"),
+            Rule("price", "l_extendedprice BETWEEN 1000 AND 90000"),
         ),
     )
     return plan(spec, t.lineitem, reader={"orders": open_orders}.get)
@@ -176,8 +176,8 @@ def rules(t):
         "part",
         "core.parts",
         rules=(
-            Rule("size", lambda: F.col("p_size").between(2, 45)),
-            Rule("price", lambda: F.col("p_retailprice") >= 950),
+            Rule("size", "p_size BETWEEN 2 AND 45"),
+            Rule("price", "p_retailprice >= 950"),
         ),
     )
     judged = plan(spec, t.part).frame.select(F.coalesce("_reason", F.lit("good")).alias("outcome"))

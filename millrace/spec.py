@@ -14,10 +14,14 @@ Reader = Callable[[str], DataFrame | None]
 
 @dataclass(frozen=True)
 class Rule:
-    """A check a finished row must pass; rows that fail are quarantined under the rule's name."""
+    """A SQL condition on target columns; rows where it is false are quarantined under the rule's name.
+
+    With `column` the rule holds only where the target has that column.
+    """
 
     name: str
-    test: Callable[[], Column]
+    test: str
+    column: str | None = None
 
 
 @dataclass(frozen=True)
@@ -72,7 +76,8 @@ class TableSpec:
     Columns need not be listed. Every source column becomes a target column under its lower-case name
     (`split_words` also splits at capitals), cleaned by the kind of its type. `rename` moves a column, `mirror`
     adds copies under further names, `kind` overrides the cleaning by target column, `derive` adds computed
-    columns, `drop` leaves source columns out. `expect` names source columns that hooks use.
+    columns, `drop` leaves source columns out. `expect` names source columns that hooks use. `required` columns
+    must be set where the target has them.
     """
 
     source: str
@@ -95,6 +100,7 @@ class TableSpec:
     references: tuple[Reference, ...] = ()
     without: tuple[str, ...] = ()
     rules: tuple[Rule, ...] = ()
+    required: tuple[str, ...] = ()
     unique: tuple[Unique, ...] = ()
     surrogate: Surrogate | None = None
     prepare: Callable[[DataFrame], DataFrame] | None = None

@@ -74,7 +74,7 @@ TABLES = {
     ("Weighing_Events", "main"): (
         "ID long, BeastID long, Weighing_Type int, Weigh_date date, Weight double, P8_Fat int, Weigh_Note string",
         [(1, 100, 1, D, 300.0, 5, "intake"), (2, 999, 1, D, 300.0, 5, None), (3, 100, 2, None, 301.0, None, None),
-         (4, 101, 3, D, None, None, None), (5, None, 4, D, 3.0, None, None)],
+         (4, 101, 3, D, None, None, None), (5, None, 4, D, 3.0, None, None), (6, 100, 1, D, -1.0, None, None)],
     ),
     ("PensHistory", "main"): ("ID long, BeastID long, MoveDate date, Pen string", [(1, 100, D, "P01")]),
     ("Drugs_Given", "main"): (
@@ -95,6 +95,11 @@ TABLES = {
         [(1, "Lee", "Ann", "secret", "Y")],
     ),
     ("PensFileIsOpen", "feed"): ("ID int, Is_Open string", [(1, "no"), (2, "yes")]),
+    ("Commodities", "feed"): (
+        "Commodity_Code int, Commod_Name string, Shrinkage_Factor double",
+        [(1, "Bad", 7.0), (1, "Barley", 0.5), (2, "Oats", None)],
+    ),
+    ("ContactsContactTypes", "main"): ("ID int, Contact_ID int, Contact_Type_ID int", [(1, 1, 3), (2, 1, 3), (3, None, 3)]),
     ("GE150_Feeding_Details", "feed"): ("Rec_ID int, Day_No int, Amount double", [(1, 1, 2.0)]),
     ("WAGYU_Feeding_Details", "feed"): ("Rec_ID int, Day_No int, Amount double", [(1, 1, 3.0), (2, 2, 4.0)]),
     ("Pen_DOF", "main"): ("Pen string, DOF int, Pic binary", [("P01", None, b"abc")]),

@@ -121,7 +121,7 @@ def test_events(loaded):
         (5, None, None, None, "sale", datetime(2024, 1, 15), None),
     ]
     row = log.where("source_table = 'Weighing_Events'").first()
-    assert (row["rows_orphan"], row["rows_validate"]) == (1, 1)
+    assert (row["rows_orphan"], row["rows_validate"], row["rows_rule"]) == (1, 1, 1)
     drugs = {r["drug_id"]: r["id"] for r in store.read("health.drugs").collect()}
     assert rows(store.read("health.drugs_given"), "legacy_id", "drug_id", "units_given", "sb_rec_no", "date_given") == [
         (1, drugs[11], 2.5, 1, datetime(2024, 1, 15)),
@@ -138,6 +138,16 @@ def test_events(loaded):
     ]
 
 
+def test_a_row_that_breaks_a_rule_takes_no_key(loaded):
+    _, store, log = loaded
+    assert rows(store.read("commodity.commodities"), "commodity_code", "commodity_name") == [(1, "Barley"), (2, "Oats")]
+    assert rows(store.read("contacts.contactscontacttypes"), "contact_id", "contact_type_id") == [(1, 3)]
+    row = log.where("source_table = 'ContactsContactTypes'").first()
+    assert (row["rows_conflict"], row["rows_rule"]) == (1, 1)
+    reasons = store.quarantine().where("source_table = 'ContactsContactTypes'")
+    assert rows(reasons, "reason") == [("conflict",), ("rule:required contact_id",)]
+
+
 def test_quarantine_keeps_the_row(loaded):
     _, store, _ = loaded
     orphan = store.quarantine().where("source_table = 'Weighing_Events' AND reason = 'orphan'")
@@ -225,7 +235,7 @@ def test_dry_run_writes_nothing(spark, loaded, tmp_path):
     assert not (tmp_path / "dry").exists()
     got = rows(dry, "source_table", "target_table", "rows_read", "rows_written", "rows_orphan", "rows_junk")
     assert ("Cattle", "cattle.cows", 7, 3, 0, 2) in got
-    assert ("Weighing_Events", "weighing.weighing_events", 5, 3, 1, 0) in got
+    assert ("Weighing_Events", "weighing.weighing_events", 6, 3, 1, 0) in got
     assert len(got) == 5
 
 

@@ -75,6 +75,9 @@ def test_first_per_key_is_cut_before_the_shuffle(skewed):
 def test_number_rows(spark, skewed):
     numbered = rank.number_rows(skewed, ["row"], "n", 100)
     assert rows(numbered, "row", "n") == sorted([(i, 101 + i) for i in range(900)], key=str)
+    within = rank.number_rows(skewed.where("k IS NOT NULL"), ["row"], "n", 10, within=["k"])
+    assert sorted(rows(within.where("k = 8"), "row", "n")) == [(48, 11), (168, 12), (288, 13), (408, 14), (528, 15), (648, 16), (768, 17), (888, 18)]
+    assert within.groupBy("k").agg(F.min("n").alias("a"), (F.max("n") - F.count("n")).alias("b")).where("a <> 11 OR b <> 10").count() == 0
     copies = spark.createDataFrame([("x",)] * 300 + [("a",)], "v string").repartition(7)
     got = rows(rank.number_rows(copies, ["v"], "n"), "n", "v")
     assert sorted(n for n, _ in got) == list(range(1, 302))
