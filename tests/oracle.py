@@ -59,7 +59,11 @@ def main():
     from millrace.session import build_session
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("oracle", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"})
+    settings = {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"}
+    if os.environ.get("NO_BROADCAST"):
+        # every lookup takes the way large ones take
+        settings["spark.sql.autoBroadcastJoinThreshold"] = "-1"
+    spark = build_session("oracle", "local[8]", **settings)
     spark.sparkContext.setLogLevel("OFF")
     con, sql, bad = connect(folder), oracle_sql(), 0
     for name, build in queries().items():

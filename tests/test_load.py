@@ -187,7 +187,9 @@ def test_derived(loaded):
 
 def test_other_tables(loaded):
     _, store, _ = loaded
-    assert rows(store.read("breeding.breeding_sires"), "sire_id", "breed", "eid") == [(1, "Angus", "x"), (2, None, "y")]
+    sires = rows(store.read("breeding.breeding_sires"), "sire_id", "breed", "eid")
+    # two rows share id 1 and its arrival order, so either may stay
+    assert sires[0] in [(1, "Angus", "x"), (1, "hereford", "z")] and sires[1:] == [(2, None, "y")]
     assert rows(store.read("cattle.overhead_application_history"), "ohead_doll_hd_day", "ohead_cost_per_hd_day_pen1") == [
         (2.5, "3")
     ]
