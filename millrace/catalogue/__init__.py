@@ -3,6 +3,7 @@ from millrace.catalogue.checks import COST_GROUP, FOREIGN_KEYS, PROFILE_META, ST
 from millrace.catalogue.derivations import DERIVATIONS
 from millrace.catalogue.references import SHARED
 from millrace.catalogue.tables import SPECS
+from millrace.catalogue import standard
 
 __all__ = [
     "COST_GROUP",
@@ -15,4 +16,5 @@ __all__ = [
     "STALE_COLUMNS",
     "STRANDED_PAIRS",
     "category_frame",
+    "standard",
 ]

@@ -97,7 +97,8 @@ def to_timestamp(value: Column | str, dtype: T.DataType = TEXT) -> Column:
     if isinstance(dtype, DATES):
         return c.cast("timestamp")
     if isinstance(dtype, T.NumericType):
-        return F.when(c != 0, F.timestamp_millis(c.cast("long")))
+        # milliseconds; 0 stands for none, and past this bound there is no date
+        return F.when((c != 0) & (F.abs(c) <= F.lit(8.64e15)), F.timestamp_millis(c.try_cast("long")))
     if not isinstance(dtype, T.StringType):
         return F.lit(None).cast("timestamp")
     text = trimmed(c)

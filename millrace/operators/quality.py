@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.clean import to_timestamp
+
 
 def count_rows(df: DataFrame, distinct: Sequence[str] = ()) -> DataFrame:
     return df.agg(
@@ -33,15 +35,12 @@ def null_rates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
 
 
 def date_ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column_name, min_date, max_date) from one pass."""
-    ends = df.agg(*[f(c).alias(f"{n}{i}") for i, c in enumerate(columns) for f, n in ((F.min, "a"), (F.max, "z"))])
+    """(column_name, min_date, max_date) from one pass; text is read as a date first, and what is none is passed over."""
+    dates = {c: to_timestamp(F.col(f"`{c}`"), df.schema[c].dataType) for c in columns}
+    ends = df.agg(*[f(dates[c]).alias(f"{n}{i}") for i, c in enumerate(columns) for f, n in ((F.min, "a"), (F.max, "z"))])
     cells = F.array(
         *[
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.col(f"a{i}").cast("timestamp").alias("min_date"),
-                F.col(f"z{i}").cast("timestamp").alias("max_date"),
-            )
+            F.struct(F.lit(c).alias("column_name"), F.col(f"a{i}").alias("min_date"), F.col(f"z{i}").alias("max_date"))
             for i, c in enumerate(columns)
         ]
     )

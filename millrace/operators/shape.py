@@ -19,7 +19,7 @@ def unpivot_slots(
     by_lower = {c.lower(): c for c in df.columns}
     present = {by_lower[c.lower()]: n for c, n in slots.items() if c.lower() in by_lower}
     cells = F.array(
-        *[F.struct(F.lit(n).alias(slot_as), F.col(f"`{c}`").cast("double").alias(value_as)) for c, n in present.items()]
+        *[F.struct(F.lit(n).alias(slot_as), F.col(f"`{c}`").try_cast("double").alias(value_as)) for c, n in present.items()]
     )
     exploded = df.select(*keys, F.explode(F.filter(cells, lambda s: s[value_as].isNotNull())).alias("_cell"))
     return exploded.select(*keys, f"_cell.{slot_as}", f"_cell.{value_as}")

@@ -84,6 +84,10 @@ def test_typed_dates(spark):
     out = df.select(*[fn.to_timestamp(F.col(f.name), f.dataType).alias(f.name) for f in df.schema.fields]).first()
     assert list(out) == [datetime(2024, 1, 2, 3, 4, 5), datetime(2024, 1, 2), None, datetime(1970, 1, 1, 0, 0, 1)]
     assert kind_of(df.schema["a"].dataType) == "date"
+    assert results(spark, fn.to_timestamp, [float("nan"), 1e300, 1000.0, 0.0], T.DoubleType()) == [
+        None, None, datetime(1970, 1, 1, 0, 0, 1), None,
+    ]
+    assert results(spark, fn.trim_or_null, [float("nan"), 1e300, -0.5], T.DoubleType()) == ["NaN", "1.0E300", "-0.5"]
 
 
 def test_to_time(spark):

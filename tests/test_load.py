@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.catalogue import DERIVATIONS, SHARED, SPECS
+from millrace.catalogue import DERIVATIONS, SHARED, SPECS, standard
 from millrace.catalogue.categories import RAW
 from millrace.plans.run import run, summary, unbalanced
 from millrace.sources import TargetStore
@@ -269,3 +269,47 @@ def test_summary(loaded):
     _, _, log = loaded
     row = summary(log).first()
     assert row["failed"] == 0 and row["ok"] == log.where("status = 'completed'").count()
+
+
+def test_standard_validation(loaded):
+    source, store, _ = loaded
+    report = standard.validate(store, source)
+    failing = rows(report.where("NOT passed"), "check", "detail")
+    assert failing == []
+    names = {r["check"] for r in report.collect()}
+    assert "foreign key: weighing.weighing_events.beast_id -> cattle.cows.id" in names
+    assert {"one active holder per tag", "no outdated columns", "loaded: feed.feeding_details"} <= names or "no outdated columns" in names
+
+
+def test_standard_reconciliation(loaded):
+    source, store, _ = loaded
+    report = standard.reconcile(store, source, ["Cattle", "Costs", "Market_Category", "Pen_DOF", "Company"])
+    assert rows(report, "table_name", "source_rows", "target_rows", "match") == [
+        ("Cattle -> cattle.cows", 7, 3, False),
+        ("Company -> contacts.company", 0, 0, True),
+        ("Costs -> finance.costs", 3, 2, False),
+        ("Market_Category -> cattle.market_categories", 1, 1, True),
+        ("Pen_DOF", 1, 1, True),
+    ]
+
+
+def test_standard_comparison(loaded):
+    source, store, _ = loaded
+    report = standard.compare(store, source)
+    assert rows(report.where("table_name = 'Cost_Codes'"), "key", "kind") == [("9", "missing")]
+    assert rows(report.where("table_name = 'Purchase_Lots'"), "key", "kind") == [("", "missing"), ("LEGACY-2", "extra")]
+    assert report.where("table_name = 'Drugs'").count() == 0
+
+
+def test_source_audit(loaded):
+    profiles, keys = standard.audit_source(loaded[0])
+    status = dict(rows(profiles, "table_name", "status"))
+    assert status["Cattle"] == "FAIL" and status["Market_Category"] == "PASS"
+    assert rows(keys, "foreign_key", "orphans", "status")[2] == ("Weighing_Events.BeastID -> Cattle.BeastID", 1, "FAIL")
+
+
+def test_old_names(spark, loaded):
+    views = standard.old_names(loaded[1])
+    assert {"cows", "cattle", "pens_file", "lots"} <= set(views)
+    assert "pen_number_id" in spark.table("pens_file").columns
+    assert spark.sql("SELECT count(*) FROM cows JOIN weighing_events ON weighing_events.cow_id = cows.id").first()[0] == 2
