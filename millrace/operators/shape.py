@@ -21,8 +21,8 @@ def unpivot_slots(
     cells = F.array(
         *[F.struct(F.lit(n).alias(slot_as), F.col(f"`{c}`").try_cast("double").alias(value_as)) for c, n in present.items()]
     )
-    exploded = df.select(*keys, F.explode(F.filter(cells, lambda s: s[value_as].isNotNull())).alias("_cell"))
-    return exploded.select(*keys, f"_cell.{slot_as}", f"_cell.{value_as}")
+    long = df.select(*keys, F.explode(cells).alias("_cell")).select(*keys, f"_cell.{slot_as}", f"_cell.{value_as}")
+    return long.where(F.col(value_as).isNotNull())
 
 
 def numbered_columns(pattern: str, first: int, last: int) -> dict[str, int]:
