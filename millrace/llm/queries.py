@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, packing, token_counts, token_records
+from millrace.llm import bpe, language_id, line_quality, packing, simhash, token_counts, token_records
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -30,11 +30,26 @@ def op1(table):
     return token_records.record_digests(table("documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
 
 
+@query("op2_language_id")
+def op2(table):
+    return language_id.language_id(table("documents"))
+
+
 @query("op5_token_counts")
 def op5(table):
     return token_counts.token_counts(table("documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query("op6_quality_rules", line_quality.SQL)
+def op6(table):
+    return line_quality.quality(table("documents"))
+
+
+@query("op8_simhash_near_dedup")
+def op8(table):
+    return simhash.near_duplicates(table("documents"))
+
+
 @query("op9_best_fit_packing")
 def op9(table):
     return packing.packed(table("documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=0)
