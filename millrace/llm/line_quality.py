@@ -50,40 +50,58 @@ def line_fails(line: Column) -> Column:
     )
 
 
-def measured(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """All measures and the verdict of every whole text, and `clean_text`, which has the failed lines removed."""
-    d = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("t"))
-    d = d.withColumn("w", words_of(F.col("t")))
-    d = d.withColumn("n_words", F.size("w").cast("long")).withColumn("word_chars", F.length(F.array_join("w", "")).cast("long"))
-    d = d.withColumn("n_symbols", count_of(F.col("t"), SYMBOL).cast("long"))
-    d = d.withColumn(
-        "lines", F.transform(F.split("t", "\n"), lambda x: F.struct(x.alias("x"), F.when(x.rlike(WORD), line_fails(x)).alias("bad"))),
+def measured(df: DataFrame, doc_id: str = "doc_id", text: str = "text", cleaned: bool = False) -> DataFrame:
+    """All measures and the verdict of every whole text; with `cleaned`, also `clean_text`, which has the failed
+    lines removed, and `row`, all columns of `df` as they were.
+    """
+    whole = [F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row")] if cleaned else []
+    d = df.select(
+        F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("t"), *whole
+    )
+    judged = F.transform(
+        F.split("t", "\n"), lambda x: F.struct(x.alias("x"), F.when(x.rlike(WORD), line_fails(x)).alias("bad"))
     )
-    worded = F.transform(F.filter("lines", lambda x: x.bad.isNotNull()), lambda x: x.x)
-    d = d.withColumn("worded", worded)
-    d = d.withColumn("n_dup_lines", (F.size("worded") - F.size(F.array_distinct("worded"))).cast("long"))
+    d = with_repeated_words(once(d, w=words_of(F.col("t"))))
+    d = once(d, lines=judged)
+    d = once(d, worded=F.transform(F.filter("lines", lambda x: x.bad.isNotNull()), lambda x: x.x))
     lost = F.array_join(F.transform(F.filter("lines", lambda x: x.bad), lambda x: x.x), "\n")
-    d = d.withColumn("lost_chars", F.length(F.regexp_replace(lost, SPACE + "+", "")).cast("long"))
-    d = d.withColumn("n_lines", F.size("worded").cast("long")).withColumn("n_lines_removed", F.size(F.filter("lines", lambda x: x.bad)).cast("long"))
-    d = with_repeated_words(d)
-    base = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * REPEATED_PERCENT)
-    d = d.withColumn("base_failed", base)
-    d = d.withColumn("kept", ~F.col("base_failed") & (F.col("lost_chars") * 100 <= F.col("word_chars") * LOST_PERCENT))
     clean = F.array_join(F.transform(F.filter("lines", lambda x: ~F.coalesce(x.bad, F.lit(False))), lambda x: x.x), "\n")
-    return d.withColumn("clean_text", clean)
+    measures = F.struct(
+        F.size("w").cast("long").alias("n_words"),
+        F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
+        count_of(F.col("t"), SYMBOL).cast("long").alias("n_symbols"),
+        (F.size("worded") - F.size(F.array_distinct("worded"))).cast("long").alias("n_dup_lines"),
+        "n_repeat_words",
+        F.size("worded").cast("long").alias("n_lines"),
+        F.size(F.filter("lines", lambda x: x.bad)).cast("long").alias("n_lines_removed"),
+        F.length(F.regexp_replace(lost, SPACE + "+", "")).cast("long").alias("lost_chars"),
+        *([clean.alias("clean_text")] if cleaned else []),
+    )
+    d = once(d, m=measures).select("doc_id", "m.*", *(["row"] if cleaned else []))
+    base = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * REPEATED_PERCENT)
+    kept = ~F.col("base_failed") & (F.col("lost_chars") * 100 <= F.col("word_chars") * LOST_PERCENT)
+    return d.withColumn("base_failed", base).withColumn("kept", kept)
 
 
-def with_repeated_words(d: DataFrame) -> DataFrame:
-    """Adds n_repeat_words: words in three-word windows that the text has twice or more.
+def once(d: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns that are computed a single time: each is unfolded from an array of one.
 
-    Each step is used more than once by the next, so Spark computes it once and does not fold it in.
+    A projection would be folded into every later use, a filter on it even into the scan, once for each mention.
     """
+    for name, column in columns.items():
+        d = d.select("*", F.explode(F.array(column)).alias(name))
+    return d
+
+
+def with_repeated_words(d: DataFrame) -> DataFrame:
+    """Adds n_repeat_words: words in three-word windows that the text has twice or more."""
     windows = """CASE WHEN size(w) < 3 THEN array() ELSE
         sort_array(transform(slice(w, 1, size(w) - 2), (x, i) -> struct(xxhash64(x, w[i + 1], w[i + 2]) AS h, i AS i))) END"""
     places = """array_sort(array_compact(transform(s, (x, j) ->
         CASE WHEN x.h = get(s, j - 1).h OR x.h = get(s, j + 1).h THEN x.i END)))"""
     covered = "aggregate(transform(p, (x, j) -> least(3, coalesce(get(p, j + 1) - x, 3))), 0L, (a, x) -> a + x)"
-    return d.withColumn("s", F.expr(windows)).withColumn("p", F.expr(places)).withColumn("n_repeat_words", F.expr(covered))
+    d = once(once(d, s=F.expr(windows)), p=F.expr(places))
+    return d.withColumn("n_repeat_words", F.expr(covered)).drop("s", "p")
 
 
 COLUMNS = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "n_lines_removed", "lost_chars")
@@ -134,3 +152,9 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
   n_lines_removed::BIGINT AS n_lines_removed, lost_chars::BIGINT AS lost_chars
 FROM b
 """
+
+
+def clean_documents(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents that pass, with all their columns, their text without the failed lines."""
+    passed = measured(df, doc_id, text, cleaned=True).where("kept")
+    return passed.select(*((F.col("clean_text") if c == text else F.col(f"row.`{c}`")).alias(c) for c in df.columns))
