@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, language_id, line_quality, packing, simhash, token_counts, token_records
+from millrace.llm import bpe, language_id, line_quality, packing, simhash, suffix_dedup, token_counts, token_records
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -35,6 +35,11 @@ def op2(table):
     return language_id.language_id(table("documents"))
 
 
+@query("op3_suffix_dedup")
+def op3(table):
+    return suffix_dedup.digests(table("documents"))
+
+
 @query("op5_token_counts")
 def op5(table):
     return token_counts.token_counts(table("documents"), public_tokenizers.path("piece_bpe_32k.model"))
