@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, language_id, line_quality, packing, simhash, suffix_dedup, token_counts, token_records
+from millrace.llm import bpe, language_id, line_quality, line_templates, nearest, packing, simhash, suffix_dedup, token_counts, token_records
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -40,6 +40,11 @@ def op3(table):
     return suffix_dedup.digests(table("documents"))
 
 
+@query("op4_nearest_vectors")
+def op4(table):
+    return nearest.nearest(table("embeddings"), query_every=20, k=20)
+
+
 @query("op5_token_counts")
 def op5(table):
     return token_counts.token_counts(table("documents"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -50,6 +55,11 @@ def op6(table):
     return line_quality.quality(table("documents"))
 
 
+@query("op7_line_templates")
+def op7(table):
+    return line_templates.digests(table("documents"))
+
+
 @query("op8_simhash_near_dedup")
 def op8(table):
     return simhash.near_duplicates(table("documents"))

@@ -29,8 +29,9 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from millrace.llm.common import bounds, ragged, slices, texts, written
+from millrace.llm.common import bounds, ragged, ship, slices, written
 from millrace.llm.run_length_index import RunLengthIndex
 
 LENGTH = 100
@@ -327,33 +328,39 @@ def rest_of(batches):
     """What is left of each document."""
     unpack = zstandard.ZstdDecompressor()
     for part in slices(batches, "z", 1 << 20):
-        out: list[list] = [[], [], [], [], []]
-        for doc_id, z, spans in zip(*(part.column(c).to_pylist() for c in ("doc_id", "z", "spans")), strict=True):
+        out: list[list] = [[], [], [], []]
+        for z, spans in zip(part.column("z").to_pylist(), part.column("spans").to_pylist(), strict=True):
             text = unpack.decompress(z)
             begin, end = merged(np.array([(s["start"], s["size"]) for s in spans or ()], np.int64).reshape(-1, 2))
             kept = b"".join(text[a:b] for a, b in zip([0, *end.tolist()], [*begin.tolist(), len(text)], strict=True))
-            for column, value in zip(out, (doc_id, len(text), len(text) - len(kept), len(begin), kept), strict=True):
+            for column, value in zip(out, (len(text), len(text) - len(kept), len(begin), kept), strict=True):
                 column.append(value)
-        kinds = (*[pa.int64()] * 4, pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+        kinds = (*[pa.int64()] * 3, pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [part.column("row"), *(pa.array(x, k) for x, k in zip(out, kinds, strict=True))], names=["row", "n_bytes", "n_removed", "n_spans", "kept"]
+        )
 
 
 def packed_texts(plain: DataFrame) -> DataFrame:
-    """Texts compressed one by one, for the joins that move them."""
+    """Texts compressed one by one, for the joins that move them; other columns as they are."""
+    names = [c for c in plain.columns if c != "text"]
 
     def run(batches):
         pack = zstandard.ZstdCompressor(level=1)
         for part in slices(batches):
             z = pa.array([pack.compress(t.encode()) for t in part.column("text").to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("k_id"), part.column("k_hash"), z], names=["doc_id", "k_id", "k_hash", "z"])
+            yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), z], names=[*names, "z"])
 
-    return plain.mapInArrow(run, "doc_id long, k_id long, k_hash long, z binary")
+    return plain.mapInArrow(run, StructType([plain.schema[n] for n in names] + [StructField("z", BinaryType())]))
 
 
 def kept_bytes(df: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text", cuts=CUTS) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept): each row's whole text and what is left of it, as bytes."""
-    plain = texts(df, doc_id, text).select(
-        "doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("k_id"), F.xxhash64("text").alias("k_hash"), "text"
+    """(row, n_bytes, n_removed, n_spans, kept): for each row its columns but the text, and what is left of that, as bytes."""
+    ship(df.sparkSession)
+    own = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    others = [F.col(f"`{c}`") for c in df.columns if c != text]
+    plain = df.select(
+        F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(NO_ID)).alias("k_id"), F.xxhash64(own).alias("k_hash"), F.struct(*others).alias("row"), own.alias("text")
     )
     buckets = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     names = plain.select("k_id", "k_hash", "text").mapInArrow(
@@ -361,14 +368,16 @@ def kept_bytes(df: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text
     )
     met = names.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda batches: meet(batches, length, cuts), f"{SPAN}, {NEED}")
     found = written(met, "contexts")
-    squeezed = packed_texts(plain)
+    squeezed = packed_texts(plain.select("k_id", "k_hash", "text"))
     needs = (
         found.where("key IS NOT NULL")
         .groupBy("k_id", "k_hash")
         .agg(F.collect_list(F.struct("start", "windows", "anchor", "key", "cut")).alias("needs"))
     )
     asked = squeezed.join(needs, ["k_id", "k_hash"]).select("k_id", "k_hash", "z", "needs")
-    pieces = asked.mapInArrow(lambda batches: fetch(batches, length), "key long, k_id long, k_hash long, start long, bytes binary, size long")
+    pieces = asked.mapInArrow(
+        lambda batches: fetch(batches, length), "key long, k_id long, k_hash long, start long, bytes binary, size long"
+    )
     compared = (
         pieces.repartition("key").sortWithinPartitions("key", "k_id", "k_hash", "start").mapInArrow(lambda batches: compare(batches, length), SPAN)
     )
@@ -379,10 +388,22 @@ def kept_bytes(df: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text
         .groupBy("k_id", "k_hash")
         .agg(F.collect_list(F.struct("start", "size")).alias("spans"))
     )
-    whole = squeezed.join(spans, ["k_id", "k_hash"], "left").select("doc_id", "z", "spans")
-    return whole.mapInArrow(rest_of, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    whole = packed_texts(plain).join(spans, ["k_id", "k_hash"], "left").select("row", "z", "spans")
+    counts = [StructField(n, LongType()) for n in ("n_bytes", "n_removed", "n_spans")]
+    return whole.mapInArrow(rest_of, StructType([plain.schema["row"], *counts, StructField("kept", BinaryType())]))
 
 
 def digests(df: DataFrame, length: int = LENGTH, cuts=CUTS) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256)."""
-    return kept_bytes(df, length, cuts=cuts).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return kept_bytes(df, length, cuts=cuts).select(F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def clean_documents(df: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """All rows of `df` with all their columns, their text without what starts earlier.
+
+    A character of which only some bytes are left is not text any more and goes too.
+    """
+    left = kept_bytes(df, length, doc_id, text)
+    rest = F.try_validate_utf8(F.col("kept").cast("string"))
+    sound = F.when(rest.isNotNull(), rest).otherwise(F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\ufffd", ""))
+    return left.select(*((sound if c == text else F.col(f"row.`{c}`")).alias(c) for c in df.columns))
