@@ -157,7 +157,7 @@ def test_quality_edges(spark):
     assert got[3]["kept"] and got[3]["n_lines_removed"] == 0
     assert got[4]["kept"] and got[4]["n_lines_removed"] == 2 and got[4]["n_symbols"] == 3
     assert got[5]["base_failed"] and got[5]["n_repeat_words"] == 120
-    assert not got[None]["kept"] and not got[None]["base_failed"]
+    assert not got[None]["kept"] and got[None]["n_lines_removed"] == 20
     clean = {r["doc_id"]: r for r in line_quality.clean_documents(df).collect()}
     assert set(clean) == {3, 4} and clean[4]["text"] == good + "\n" and clean[4]["kept"] == 2 and clean[4]["row"] == "z"
     assert line_quality.quality(documents(spark, [])).count() == 0
