@@ -38,8 +38,8 @@ def canonical_text(value: Column | str, dtype: T.DataType = TEXT) -> Column:
     if isinstance(dtype, T.StringType):
         return c
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        whole = (c == F.floor(c)) & (F.abs(c) < F.lit(1e15))
-        return F.when(whole, c.cast("long").cast("string")).otherwise(c.cast("string"))
+        whole = F.when(c == F.rint(c), c.try_cast("decimal(38,0)"))
+        return F.coalesce(whole.cast("string"), c.cast("string"))
     if isinstance(dtype, T.DecimalType):
         text = c.cast("string")
         return F.when(text.contains("."), F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)

@@ -47,12 +47,13 @@ def date_ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return ends.select(F.inline(cells))
 
 
-def duplicate_groups(df: DataFrame, keys: Sequence[str | Column], keep: Column | None = None) -> DataFrame:
-    """Keys held more than once, with their row count. Null keys do not count."""
+def duplicate_groups(df: DataFrame, keys: Sequence[str | Column], keep: Column | None = None, **more: Column) -> DataFrame:
+    """Keys held more than once, with their row count and `more` aggregates. Null keys do not count."""
     rows = df if keep is None else df.where(keep)
     named = [F.col(k) if isinstance(k, str) else k for k in keys]
-    grouped = rows.select(*named).dropna().groupBy(*rows.select(*named).columns)
-    return grouped.agg(F.count(F.lit(1)).alias("row_count")).where(F.col("row_count") > 1)
+    names = rows.select(*named).columns
+    grouped = (rows.withColumns(dict(zip(names, named, strict=True))) if more else rows.select(*named)).dropna(subset=names).groupBy(*names)
+    return grouped.agg(F.count(F.lit(1)).alias("row_count"), *(c.alias(n) for n, c in more.items())).where(F.col("row_count") > 1)
 
 
 def duplicate_summary(groups: DataFrame) -> DataFrame:
@@ -62,8 +63,9 @@ def duplicate_summary(groups: DataFrame) -> DataFrame:
     )
 
 
-def filtered_counts(df: DataFrame, tests: dict[str, Column]) -> DataFrame:
-    return df.agg(*[F.count_if(test).alias(name) for name, test in tests.items()])
+def filtered_counts(df: DataFrame, tests: dict[str, Column], **more: Column) -> DataFrame:
+    """One row: how many rows pass each test, and `more` aggregates of the same scan."""
+    return df.agg(*[F.count_if(test).alias(name) for name, test in tests.items()], *(c.alias(n) for n, c in more.items()))
 
 
 def stranded_columns(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
@@ -99,7 +101,3 @@ def fill_ratio(df: DataFrame, keep: Column, filled: Column) -> DataFrame:
     ratio = F.when(F.col("kept_rows") > 0, F.col("filled_rows") / F.col("kept_rows")).otherwise(F.lit(0.0))
     passed = (F.col("kept_rows") == 0) | (F.col("filled_rows") > 0)
     return out.withColumn("fill_ratio", F.round(ratio, 4)).withColumn("passed", passed)
-
-
-def all_true(tests: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, tests, F.lit(True))

@@ -8,7 +8,6 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,9 +18,6 @@ from millrace.sources.readers import unite_farms
 from millrace.sources.sinks import LOG_SCHEMA, TargetStore
 from millrace.spec import Reference, TableSpec, select_specs
 
-# log rows written together; a lost driver costs at most the last of them
-LOG_BATCH = 20
-
 # target, name of the derived source, rows given a reader of this run's targets and of source tables
 Derivation = tuple[str, str, int, Callable[["Load"], DataFrame | None]]
 
@@ -35,6 +31,7 @@ class Load:
         self.earlier = dict(self.runs)
         self.planned: dict[str, list[DataFrame]] = defaultdict(list)
         self.fresh: set[tuple[str, str]] = set()
+        self.asked: set[str] = set()
 
     def table(self, name: str, group: str = "main") -> DataFrame | None:
         """A source table, over all farms when the run has several; None where it is absent everywhere."""
@@ -46,10 +43,15 @@ class Load:
 
     def target(self, name: str) -> DataFrame | None:
         """A target as loaded by this run, or by earlier ones where this run did not touch it."""
+        self.asked.add(name)
         if self.planned.get(name):
             return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), self.planned[name])
         return self.store.read(name, self.runs) if self.store else None
 
+    def loaded(self) -> set[str]:
+        """Targets that this run has put rows into; staged ones also by the name they are read under."""
+        return {name for _, name in self.fresh} | set(self.planned)
+
     def held(self, name: str) -> DataFrame | None:
         """Rows this run has already put into a target."""
         if self.store is None:
@@ -100,56 +102,50 @@ def run(
         order_of[spec.target] = max(order_of[spec.target], spec.order)
     farm_text = ",".join(farms) if farms else None
     rows: list[tuple] = []
-    pending: list[tuple] = []
     steps = sorted(
-        [(s.order, 0, s) for s in chosen] + [(d[2], 1, d) for d in derivations if tables is None],
+        [(s.order, 0, s) for s in chosen] + [(d[2], 1, d) for d in derivations],
         key=lambda step: step[:2],
     )
     for order, is_derivation, step in steps:
         started = datetime.now(timezone.utc)
         if is_derivation:
             target, name = step[0], step[1]
-            work = lambda: _derive(load, step, run_id)  # noqa: E731, B023
+            work = lambda: _derive(load, step, run_id, tables is not None)  # noqa: E731, B023
         else:
             target, name = step.stored_as, step.source
             usable = [r for r in shared if order_of.get(r.target, order) < order]
             work = lambda: _load_one(load, step, usable, (schemas or {}).get(step.target), run_id)  # noqa: E731, B023
         try:
             values = work()
-        except PySparkException as error:
-            values = {"status": "failed", "error_details": str(error)[:2000]}
+        except Exception as error:  # noqa: BLE001  one table's failure is logged whole and leaves the others alone
+            values = {"status": "failed", "error_details": str(error)}
         if values is None:
             continue
         rows.append(_log_row(run_id, name, target, started, farm_text, **values))
-        pending.append(rows[-1])
-        if not dry_run and len(pending) >= LOG_BATCH:
-            _flush(spark, store, pending)
-    if not dry_run:
-        _flush(spark, store, pending)
+        if not dry_run:
+            _append(spark, store, rows[-1])
     for name in raw_tables if tables is None else [t for t in raw_tables if t.lower() in {x.lower() for x in tables}]:
         started = datetime.now(timezone.utc)
         df = load.table(name)
         if df is None:
             continue
-        read = df.count()
-        written = read
+        try:
+            written = read = df.count()
+            if not dry_run:
+                store.write_raw(capture_raw(df, name), name, run_id)
+                written = store.raw(name, run_id).count()
+            values = {"status": "completed", "rows_read": read, "rows_written": written}
+        except Exception as error:  # noqa: BLE001
+            values = {"status": "failed", "error_details": str(error)}
+        rows.append(_log_row(run_id, name, "raw", started, farm_text, **values))
         if not dry_run:
-            store.write_raw(capture_raw(df, name), name, run_id)
-            written = store.raw(name, run_id).count()
-        rows.append(
-            _log_row(run_id, name, "raw", started, farm_text, status="completed", rows_read=read, rows_written=written)
-        )
-        pending.append(rows[-1])
-    if not dry_run:
-        _flush(spark, store, pending)
+            _append(spark, store, rows[-1])
     return spark.createDataFrame(rows, LOG_SCHEMA)
 
 
-def _flush(spark: SparkSession, store: TargetStore, pending: list[tuple]) -> None:
-    """Append waiting log rows; their tables become the current ones with that."""
-    if pending:
-        store.append_log(spark.createDataFrame(pending, LOG_SCHEMA).coalesce(1))
-        pending.clear()
+def _append(spark: SparkSession, store: TargetStore, row: tuple) -> None:
+    """Append a log row as soon as its step is done; its table becomes the current one with that."""
+    store.append_log(spark.createDataFrame([row], LOG_SCHEMA).coalesce(1))
 
 
 def _load_one(load: Load, spec: TableSpec, shared: Sequence[Reference], declared, run_id: int) -> dict | None:
@@ -196,10 +192,12 @@ def _dropped_by_latest(planned: Planned, spec: TableSpec) -> int:
     return int(excess.first()[0])
 
 
-def _derive(load: Load, step: Derivation, run_id: int) -> dict | None:
+def _derive(load: Load, step: Derivation, run_id: int, selected: bool = False) -> dict | None:
+    """Rows of a derivation; in a run of selected tables only where one of its inputs was loaded anew."""
     target, name, _, build = step
+    load.asked.clear()
     df = build(load)
-    if df is None:
+    if df is None or (selected and not load.asked & load.loaded()):
         return None
     if load.store is None:
         load.planned[target].append(df)

@@ -7,7 +7,7 @@ conflict. Joins happen on the source columns, before the target columns exist, s
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.clean import canonical_text, trimmed
-from millrace.functions.kinds import KINDS, kind_of
+from millrace.functions.kinds import KINDS, kind_of, kind_of_name
 from millrace.functions.names import upper_name
 from millrace.operators.joins import left_lookup
 from millrace.operators.merge import mark_conflicts
-from millrace.operators.rank import assign_ids, first_per_key
+from millrace.operators.rank import assign_ids, first_per_key, number_rows
 from millrace.sources.raw import row_json, row_struct
 from millrace.spec import Reader, Reference, TableSpec, target_name
 
@@ -67,6 +67,8 @@ def target_columns(spec: TableSpec, schema: T.StructType, declared: T.StructType
         names = [rename.get(key, target_name(f.name, spec.split_words)), *mirror.get(key, ())]
         for name in names:
             by_type = kind_of(wanted.get(name, f.dataType))
+            if by_type == "text" and name not in wanted:
+                by_type = kind_of_name(f.name)
             cleaned = KINDS[spec.kind.get(name, by_type)](_ref(f.name), f.dataType)
             out[name] = cleaned.try_cast(wanted[name]) if name in wanted else cleaned
     return out
@@ -115,6 +117,10 @@ def _resolve(
         whole = both_whole(ref, None if ref.build else reader(ref.target), dtype)
         mapping = reference_mapping(ref, reader, scope, whole)
         if mapping is None:
+            if ref.required:
+                # nothing to find a parent in: a row that names one is an orphan, and keeps no legacy id as if it were new
+                orphan = orphan | legacy.isNotNull()
+                out[ref.into or ref.column] = F.lit(None).cast("long")
             continue
         found = f"_found{i}"
         key = comparable(legacy, dtype, ref.names, whole)
@@ -218,10 +224,20 @@ def _known(part: str, names: Sequence[str]) -> bool:
 def _with_ids(shaped: DataFrame, spec: TableSpec, scope: list[str], before: DataFrame | None) -> DataFrame:
     natural = [*scope, *spec.surrogate.natural]
     usable = before is not None and all(c in before.columns for c in [*natural, spec.surrogate.column])
-    good = shaped.where("_reason IS NULL")
-    ids = assign_ids(good, before if usable else None, natural, spec.surrogate.column)
+    column = spec.surrogate.column
+    good, rejected = shaped.where("_reason IS NULL"), shaped.where("_reason IS NOT NULL")
+    ids = assign_ids(good, before if usable else None, natural, column)
+    whole = F.lit(True)
+    for part in natural:
+        whole = whole & _ref(part).isNotNull()
     # a natural key names one good row, so the join has no frequent keys
-    return left_lookup(shaped, ids, natural, salted=False)
+    named = left_lookup(good.where(whole), ids, natural, salted=False)
+    nameless = good.where(~whole)
+    if not nameless.isEmpty():
+        # rows without a natural key get ids after all others
+        highest = ids.agg(F.max(column)).first()[0] or 0
+        named = named.unionByName(number_rows(nameless, spec.surrogate.natural, column, highest))
+    return named.unionByName(rejected.withColumn(column, F.lit(None).cast("long")))
 
 
 def reason_class(reason: Column) -> Column:
@@ -241,11 +257,8 @@ def rejected_counts(frame: DataFrame) -> DataFrame:
     return frame.where("_reason IS NOT NULL").groupBy(F.col("_reason").alias("reason")).agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def rejected_samples(quarantine: DataFrame, keys: Sequence[str] = ("target_table", "reason"), size: int = 25) -> DataFrame:
+def rejected_samples(
+    quarantine: DataFrame, keys: Sequence[str] = ("target_table", "reason"), size: int = 25, order: Sequence[Column] = ()
+) -> DataFrame:
     """At most `size` example rows per table and reason, for people to read; counts stay exact elsewhere."""
-    return first_per_key(quarantine, list(keys), [F.col("row_data").asc()], k=size)
-
-
-def known_outcomes(row: Mapping) -> int:
-    """Rows a log row accounts for; equals rows_read when nothing was lost."""
-    return sum(row[c] or 0 for c in ("rows_written", "rows_deduped", *[f"rows_{r}" for r in REASONS]))
+    return first_per_key(quarantine, list(keys), [*order] or [F.col("row_data").asc()], k=size)

@@ -74,9 +74,7 @@ def composite_duplicates(t):
 )
 def filtered_counts(t):
     tests = {name: F.col("o_orderstatus") == code for name, code in (("finished", "F"), ("open", "O"), ("pending", "P"))}
-    return t.orders.agg(
-        *[F.count_if(test).alias(name) for name, test in tests.items()], F.max("o_orderdate").alias("last_order")
-    )
+    return quality.filtered_counts(t.orders, tests, last_order=F.max("o_orderdate"))
 
 
 @query(
@@ -135,8 +133,5 @@ def stranded_columns(t):
        FROM lineitem GROUP BY 1, 2, 3 HAVING count(*) > 1""",
 )
 def duplicate_cost_groups(t):
-    exact = F.sum(F.col("l_extendedprice").cast("decimal(18,2)"))
-    grouped = t.lineitem.groupBy("l_suppkey", "l_returnflag", "l_linestatus").agg(
-        F.count(F.lit(1)).alias("row_count"), exact.cast("double").alias("total")
-    )
-    return grouped.where(F.col("row_count") > 1)
+    exact = F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double")
+    return quality.duplicate_groups(t.lineitem, ["l_suppkey", "l_returnflag", "l_linestatus"], total=exact)

@@ -51,6 +51,22 @@ def orphan_counts(t):
     return outcome(_lines(t).frame).select("rows_written", "rows_orphan")
 
 
+@query(
+    "d1_missing_parent",
+    "SELECT 0::BIGINT AS rows_written, count(*) AS rows_orphan, 0::BIGINT AS legacy_ids FROM lineitem",
+)
+def missing_parent(t):
+    """The parent was never loaded: every line that names one is an orphan, and none keeps its legacy id."""
+    spec = TableSpec(
+        "lineitem", "core.lines", references=(Reference("l_orderkey", "orders", "o_orderkey", "id", required=True, also="order_id"),)
+    )
+    planned = plan(spec, t.lineitem)
+    counted = outcome(planned.frame).select("rows_written", "rows_orphan")
+    kept = planned.good.agg(F.count("l_orderkey").alias("legacy_ids"))
+    # two frames of one row each
+    return counted.withColumn("one", F.lit(1)).join(kept.withColumn("one", F.lit(1)), "one").drop("one")
+
+
 @query(
     "d2_id_remap",
     """SELECT s_suppkey, CASE WHEN r_name <> 'ASIA' THEN 100 + n_nationkey END AS nation_id FROM supplier

@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions.kinds import KINDS
 from millrace.functions.names import json_cell
-from millrace.operators.rank import first_per_key
 from millrace.operators.shape import fill_both_ways
-from millrace.plans.table_plan import outcome, plan, rejected_counts
+from millrace.plans.table_plan import outcome, plan, rejected_counts, rejected_samples
 from millrace.queries.registry import query
 from millrace.spec import Reference, Rule, TableSpec
 
@@ -29,6 +28,24 @@ def column_mapping(t):
     return plan(spec, t.supplier).good
 
 
+@query(
+    "b1_text_typed",
+    """SELECT l_orderkey AS order_id, l_linenumber AS line_number, l_quantity AS moved_qty,
+              l_extendedprice AS line_price, date_trunc('day', l_shipdate)::TIMESTAMP AS ship_date FROM lineitem""",
+)
+def text_typed(t):
+    """Numbers and dates that a source keeps as text come out as what their names say."""
+    text = t.lineitem.select(
+        F.col("l_orderkey").alias("Order_ID"),
+        F.col("l_linenumber").alias("Line_Number"),
+        F.col("l_quantity").cast("string").alias("Moved_Qty"),
+        F.col("l_extendedprice").cast("string").alias("Line_price"),
+        F.date_format("l_shipdate", "dd/MM/yyyy").alias("Ship_date"),
+    )
+    good = plan(TableSpec("lines", "core.lines"), text).good
+    return good.withColumn("ship_date", F.col("ship_date").cast("timestamp_ntz"))
+
+
 @query(
     "b2_static_columns",
     "SELECT 'brand' AS category, p_partkey AS code, p_brand AS label FROM part",
@@ -162,8 +179,9 @@ def rejection_counts(t):
 )
 def rejection_samples(t):
     keys = [json_cell("row_data", c).cast("long").alias(c) for c in ("l_orderkey", "l_linenumber")]
-    rejected = _judged(t).rejected.select("reason", *keys)
-    return first_per_key(rejected, ["reason"], [F.col("l_orderkey"), F.col("l_linenumber")], k=25)
+    rejected = _judged(t).rejected.select("reason", "row_data", *keys)
+    samples = rejected_samples(rejected, ["reason"], 25, [F.col("l_orderkey"), F.col("l_linenumber")])
+    return samples.select("reason", "l_orderkey", "l_linenumber")
 
 
 @query(

@@ -99,8 +99,9 @@ def old_name_view(t):
 )
 def many_farms(t):
     customer = t.customer
-    names = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
-    farms = {name: customer.where(F.col("c_mktsegment") == name).drop("c_mktsegment") for name in names}
+    # a row for each farm
+    names = [r[0] for r in customer.select("c_mktsegment").distinct().orderBy("c_mktsegment").collect()]
+    farms = {name: customer.where(F.col("c_mktsegment").eqNullSafe(name)).drop("c_mktsegment") for name in names}
     farms["BUILDING"] = farms["BUILDING"].drop("c_acctbal")
     united = unite_farms(farms)
     return united.groupBy("farm").agg(F.count(F.lit(1)).alias("row_count"), F.count("c_acctbal").alias("with_balance"))
@@ -150,3 +151,20 @@ def schema_union(t):
             F.sum("filled").alias("filled_rows"),
         )
     )
+
+
+@query(
+    "a13_mixed_types",
+    """SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'typed' ELSE 'text' END AS farm, o_orderkey,
+              date_trunc('day', o_orderdate)::TIMESTAMP AS o_orderdate, o_totalprice
+       FROM orders""",
+)
+def mixed_types(t):
+    """Half of the orders with dates and prices as text, half typed, as two farms have them."""
+    orders = t.orders.select("o_orderkey", F.date_trunc("day", "o_orderdate").alias("o_orderdate"), "o_totalprice")
+    text = orders.where("o_orderkey % 2 <> 0").select(
+        "o_orderkey", F.date_format("o_orderdate", "d/M/yyyy").alias("o_orderdate"), F.col("o_totalprice").cast("string").alias("o_totalprice")
+    )
+    return unite_farms({"typed": orders.where("o_orderkey % 2 = 0"), "text": text}).select(
+        "farm", "o_orderkey", F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"), "o_totalprice"
+    )

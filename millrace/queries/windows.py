@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.history import latest_open
 from millrace.operators.rank import assign_ids, disambiguate, first_per_key, number_rows, ranked_assignments
+from millrace.plans.run import summary
 from millrace.queries.registry import query
 
 
@@ -79,12 +80,15 @@ def open_or_latest(t):
        FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS n FROM events) WHERE n = 1""",
 )
 def latest_log_row(t):
-    newest = t.events.groupBy("user_id").agg(F.max_by(F.struct("event_type", "ts"), "event_id").alias("last"))
-    return newest.agg(
-        F.count_if(F.col("last.event_type") == "purchase").alias("ok"),
-        F.count_if(F.col("last.event_type") == "error").alias("failed"),
-        F.max("last.ts").alias("last_completed"),
+    status = F.when(F.col("event_type") == "purchase", "completed").when(F.col("event_type") == "error", "failed").otherwise("other")
+    log = t.events.select(
+        F.col("user_id").alias("source_table"),
+        F.lit("events").alias("target_table"),
+        F.col("event_id").alias("run_id"),
+        status.alias("status"),
+        F.col("ts").alias("completed_at"),
     )
+    return summary(log).select("ok", "failed", "last_completed")
 
 
 @query(

@@ -6,14 +6,20 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.clean import canonical_text
+from millrace.functions.kinds import KINDS, kind_of
+
 # Companion databases are told apart by the end of their name.
 GROUP_SUFFIXES = {"_feedtrans": "feedtrans", "_feed": "feed"}
 
+# What databases say of a table they do not have.
+MISSING_TABLE = ("invalid object name", "doesn't exist", "does not exist", "no such table", "not found")
+
 
 def database_group(database_name: str) -> str:
     """Which of a farm's databases a name stands for: main, feed or feedtrans."""
@@ -52,17 +58,21 @@ class ParquetSource:
 
 @dataclass(frozen=True)
 class JdbcSource:
-    """Tables of a live database, read in ranges of a numeric column so that many tasks share one table."""
+    """Tables of live databases, read in ranges of a numeric column so that many tasks share one table.
+
+    `urls` has a database for each (farm, group); for a single farm the group alone is enough.
+    """
 
     spark: SparkSession
-    urls: Mapping[str, str]
+    urls: Mapping[str | tuple[str, str], str]
     options: Mapping[str, str] = field(default_factory=dict)
     split_on: Mapping[str, tuple[str, int, int, int]] = field(default_factory=dict)
 
-    def reader_options(self, table: str, group: str = "main") -> dict[str, str] | None:
-        if group not in self.urls:
+    def reader_options(self, table: str, group: str = "main", farm: str | None = None) -> dict[str, str] | None:
+        url = self.urls.get(group if farm is None else (farm, group))
+        if url is None:
             return None
-        chosen = {"url": self.urls[group], "dbtable": table, "fetchsize": "10000", **self.options}
+        chosen = {"url": url, "dbtable": table, "fetchsize": "10000", **self.options}
         if table in self.split_on:
             column, low, high, parts = self.split_on[table]
             chosen |= {
@@ -74,8 +84,16 @@ class JdbcSource:
         return chosen
 
     def read(self, table: str, group: str = "main", farm: str | None = None) -> DataFrame | None:
-        options = self.reader_options(table, group)
-        return None if options is None else self.spark.read.format("jdbc").options(**options).load()
+        """The table, or None where the farm has no such table or no such database."""
+        options = self.reader_options(table, group, farm)
+        if options is None:
+            return None
+        try:
+            return self.spark.read.format("jdbc").options(**options).load()
+        except PySparkException as error:
+            if any(said in str(error).lower() for said in MISSING_TABLE):
+                return None
+            raise
 
 
 def project_tolerant(df: DataFrame, wanted: Mapping[str, T.DataType]) -> tuple[DataFrame, list[str]]:
@@ -92,8 +110,30 @@ def project_tolerant(df: DataFrame, wanted: Mapping[str, T.DataType]) -> tuple[D
 
 
 def unite_farms(frames: Mapping[str, DataFrame]) -> DataFrame:
-    """All farms' copies of one table as one frame with a `farm` column; absent columns are null."""
-    tagged = [df.withColumn("farm", F.lit(farm)) for farm, df in frames.items()]
+    """All farms' copies of one table as one frame with a `farm` column; absent columns are null.
+
+    Where a column is text on some farms and a date, number or flag on others, the text is read as that before the
+    farms are put together; where farms differ in more than that, all are taken as text. No cell stops the load.
+    """
+    types: dict[str, set] = {}
+    for df in frames.values():
+        for f in df.schema.fields:
+            types.setdefault(f.name.lower(), set()).add(f.dataType)
+
+    def aligned(df: DataFrame) -> DataFrame:
+        changed = {}
+        for f in df.schema.fields:
+            kinds = {kind_of(t) for t in types[f.name.lower()]}
+            own = F.col(f"`{f.name}`")
+            if len(kinds - {"text"}) == 1 and kind_of(f.dataType) == "text" and len(kinds) == 2:
+                changed[f.name] = KINDS[next(iter(kinds - {"text"}))](own, f.dataType)
+            elif len(kinds - {"text"}) > 1:
+                changed[f.name] = canonical_text(own, f.dataType)
+            elif kinds == {"date"} and len(types[f.name.lower()]) > 1:
+                changed[f.name] = own.cast("timestamp")
+        return df.withColumns(changed) if changed else df
+
+    tagged = [aligned(df).withColumn("farm", F.lit(farm)) for farm, df in frames.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 

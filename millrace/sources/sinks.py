@@ -60,7 +60,7 @@ class TargetStore:
     def write(self, planned: DataFrame, target: str, source: str, run_id: int) -> DataFrame:
         """Write a planned frame once; good and rejected rows go to separate folders of the same job."""
         folder = self._folder(target, source, run_id)
-        planned.write.mode("overwrite").partitionBy("_disposition").parquet(folder)
+        planned.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_disposition").parquet(folder)
         written = _read(self.spark, folder)
         return planned.limit(0) if written is None else written
 
