@@ -168,8 +168,10 @@ def named_contexts(batches, buckets: int, length: int):
         cut = np.flatnonzero(np.diff(bucket[order])) + 1
         rows = np.split(order, cut)
         blobs = [squeeze({n: e[n][r] for n, _ in ENTRY}, ENTRY) for r in rows]
+        known: list[bytes | None] = [None] * len(rows)
+        known[int(e["key"][0] >> np.uint64(20)) % len(rows)] = squeeze(m, MARK)  # with any bucket, a different one for each batch
         yield pa.RecordBatch.from_arrays(
-            [pa.array([int(bucket[r[0]]) for r in rows], pa.int32()), pa.array(blobs, pa.binary()), pa.array([squeeze(m, MARK), *[None] * (len(rows) - 1)], pa.binary())],
+            [pa.array([int(bucket[r[0]]) for r in rows], pa.int32()), pa.array(blobs, pa.binary()), pa.array(known, pa.binary())],
             names=["bucket", "entries", "marks"],
         )
 
