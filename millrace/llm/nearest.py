@@ -34,6 +34,7 @@ REACH = 0.13
 DEGREE = 16
 BEAM = 64
 PART_ROWS = 8192
+HELD = 1_000_000  # rows a task holds before it cuts them down
 SEARCHED = 512  # vectors that walk the graph side by side
 
 
@@ -227,9 +228,52 @@ def nearest(df: DataFrame, query_every: int, k: int = 20, vec_id: str = "vec_id"
     return once.withColumn("rank", F.row_number().over(place).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+class Best:
+    """The `k` nearest of each query over all lists that a task has seen, so that a task passes on `k` rows for a query.
+
+    What is held is cut down to that whenever `HELD` rows have come in; if it is still more, it is passed on as it is.
+    """
+
+    def __init__(self, k: int):
+        self.k, self.rows, self.n = k, [], 0
+
+    def add(self, query: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
+        self.rows.append((query, ids, score))
+        self.n += len(query)
+
+    def cut(self) -> None:
+        query, ids, score = (np.concatenate(x) for x in zip(*self.rows, strict=True)) if self.rows else (np.zeros(0, np.int64),) * 3
+        order = np.lexsort((ids, -score, query))
+        query, ids, score = query[order], ids[order], score[order]
+        # copies of a vector in several lists count once; they stand side by side
+        new = np.ones(len(query), bool)
+        new[1:] = (query[1:] != query[:-1]) | (ids[1:] != ids[:-1]) | (score[1:] != score[:-1])
+        query, ids, score = query[new], ids[new], score[new]
+        head = np.ones(len(query), bool)
+        head[1:] = query[1:] != query[:-1]
+        first = np.flatnonzero(head)
+        keep = np.arange(len(query)) - np.repeat(first, np.diff(np.append(first, len(query)))) < self.k
+        self.rows, self.n = [(query[keep], ids[keep], score[keep])], int(keep.sum())
+
+    def emit(self) -> pa.RecordBatch:
+        self.cut()
+        query, ids, score = self.rows[0]
+        self.rows, self.n = [], 0
+        return pa.RecordBatch.from_arrays([pa.array(query, pa.int64()), pa.array(ids, pa.int64()), pa.array(score, pa.float64())], names=["query_id", "vec_id", "score"])
+
+
+def once(ids: np.ndarray, x: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Vectors of a list without repeated rows."""
+    order = np.argsort(ids, kind="stable")
+    ids, x = ids[order], x[order]
+    same = np.flatnonzero(ids[1:] == ids[:-1])
+    again = same[(x[same] == x[same + 1]).all(axis=1)] + 1
+    return [np.delete(ids, again)], [np.delete(x, again, axis=0)]
+
+
 def scan(batches, k: int):
     """The `k` nearest of each part of a list for the queries that follow it."""
-    part, ids, held = None, [], []
+    part, ids, held, merged, best = None, [], [], False, Best(k)
     for batch in batches:
         which = np.stack([np.asarray(batch.column(c), dtype=np.int64) for c in ("list", "part", "asks")], axis=1)
         cut = np.flatnonzero(np.any(which[1:] != which[:-1], axis=1)) + 1
@@ -239,18 +283,25 @@ def scan(batches, k: int):
             own, asks = tuple(which[a, :2]), which[a, 2]
             vec, x = np.asarray(batch.column("vec_id").slice(a, b - a)), matrix(batch.column("v").slice(a, b - a))
             if own != part:
-                part, ids, held = own, [], []
+                part, ids, held, merged = own, [], [], False
             if not asks:
                 ids.append(vec)
                 held.append(x)
             elif ids:
-                if len(ids) > 1:
-                    ids, held = [np.concatenate(ids)], [np.concatenate(held)]
+                if len(ids) > 1 or not merged:
+                    ids, held, merged = *once(np.concatenate(ids), np.concatenate(held)), True
                 for at in range(0, len(vec), 256):
-                    yield best_of(ids[0], held[0], vec[at : at + 256], x[at : at + 256], k)
+                    best.add(*best_of(ids[0], held[0], vec[at : at + 256], x[at : at + 256], k))
+                if best.n > HELD:
+                    best.cut()
+                    if best.n > HELD // 2:
+                        yield best.emit()
+    if best.n:
+        yield best.emit()
 
 
-def best_of(ids: np.ndarray, x: np.ndarray, query: np.ndarray, q: np.ndarray, k: int) -> pa.RecordBatch:
+def best_of(ids: np.ndarray, x: np.ndarray, query: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, vector, score) rows: the `k` nearest of `x` for each of `q`."""
     rough = q @ x.T
     rough[query[:, None] == ids[None, :]] = -np.inf
     if len(ids) > k:
@@ -266,4 +317,4 @@ def best_of(ids: np.ndarray, x: np.ndarray, query: np.ndarray, q: np.ndarray, k:
     head = np.concatenate([[True], i[1:] != i[:-1]]) if len(i) else np.zeros(0, bool)
     first = np.flatnonzero(head)
     keep = np.arange(len(i)) - np.repeat(first, np.diff(np.append(first, len(i)))) < k
-    return pa.RecordBatch.from_arrays([pa.array(query[i][keep]), pa.array(ids[j][keep]), pa.array(score[keep])], names=["query_id", "vec_id", "score"])
+    return query[i][keep], ids[j][keep], score[keep]
