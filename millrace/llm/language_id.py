@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import bounds, ship, slices
+from millrace.llm.common import bounds, ship, slices, written
 
 TRAINING_DOCS = 8_000
 WORDS = 20_000
@@ -28,7 +28,6 @@ GRAMS = 6_000
 LONGEST = 5
 PENALTY = 7.0  # -log10 of the frequency taken for what a language does not know
 UNKNOWN = "und"
-KEPT = 200_000
 
 
 def words_of(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -91,45 +90,37 @@ def frequencies(sample: DataFrame) -> DataFrame:
 class Model:
     """Scores words in all languages at once."""
 
-    def __init__(self, langs: list[str], tables: list[dict[str, list[tuple[int, float]]]], fallback: int):
+    def __init__(self, langs: list[str], tables: list[dict[str, int]], values: np.ndarray, fallback: int):
         self.langs, self.fallback = langs, fallback
-        self.tables = tables  # by size, 0 for words: gram -> [(language, -log10 frequency)]
-        self.known: dict[str, np.ndarray] = {}
-
-    def row(self, size: int, gram: str) -> np.ndarray | None:
-        found = self.tables[size].get(gram)
-        if found is None:
-            return None
-        out = np.full(len(self.langs), PENALTY)
-        for lang, value in found:
-            out[lang] = value
-        return out
-
-    def word(self, word: str) -> np.ndarray | None:
-        found = self.row(0, word)
-        if found is not None:
-            return found
-        for size in range(min(LONGEST, len(word) + 2), 0, -1):
-            table = self.tables[size]
-            known = [self.row(size, g) for g in grams(word, size) if g in table]
-            if known:
-                return np.mean(known, axis=0)
-        return None
+        self.tables = tables  # by size, 0 for words: gram -> row of `values`
+        self.values = values  # -log10 frequency in each language
 
     def scores(self, words: list[str]) -> np.ndarray:
-        """A row for each word; NaN where no language knows even a character of it."""
-        out = np.full((len(words), len(self.langs)), np.nan)
-        if len(self.known) > KEPT:
-            self.known.clear()
+        """A row for each word: its own, or the mean over its longest known n-grams; NaN where not even a character is known."""
+        rows: list[int] = []
+        counts = np.zeros(len(words), np.int64)
+        whole, tables = self.tables[0], self.tables
         for i, word in enumerate(words):
-            got = self.known.get(word)
-            if got is None:
-                got = self.word(word) if word else None
-                if got is None:
-                    continue
-                if len(word) <= 32:
-                    self.known[word] = got
-            out[i] = got
+            if not word:
+                continue
+            row = whole.get(word)
+            if row is not None:
+                rows.append(row)
+                counts[i] = 1
+                continue
+            held = f" {word} "
+            for size in range(min(LONGEST, len(held)), 0, -1):
+                table = tables[size]
+                found = [table[g] for g in [held[k : k + size] for k in range(len(held) - size + 1)] if g in table]
+                if found:
+                    rows += found
+                    counts[i] = len(found)
+                    break
+        out = np.full((len(words), len(self.langs)), np.nan)
+        some = np.flatnonzero(counts)
+        if some.size:
+            total = np.add.reduceat(self.values[np.array(rows, np.int64)], bounds(counts[some])[:-1], axis=0)
+            out[some] = total / counts[some][:, None]
         return out
 
     def predict(self, column: pa.Array) -> tuple[list[str], np.ndarray]:
@@ -154,9 +145,9 @@ def bounds_of(values: np.ndarray) -> np.ndarray:
     return np.concatenate([[0.0], np.cumsum(values)])
 
 
-def fit(df: DataFrame, docs: int = TRAINING_DOCS) -> tuple[list[str], list[dict], int]:
+def fit(df: DataFrame, docs: int = TRAINING_DOCS) -> tuple[list[str], list[dict], np.ndarray, int]:
     """What `Model` is made of, from (doc_id, text, lang, held_out)."""
-    counts = frequencies(training(df, docs))
+    counts = written(frequencies(training(df, docs)), "frequencies")  # used twice
     totals = {(r["lang"], r["size"]): r["n"] for r in counts.groupBy("lang", "size").agg(F.sum("n").alias("n")).collect()}
     place = Window.partitionBy("lang", "size").orderBy(F.col("n").desc(), "gram")
     # at most WORDS + LONGEST * GRAMS rows of each language
@@ -165,10 +156,15 @@ def fit(df: DataFrame, docs: int = TRAINING_DOCS) -> tuple[list[str], list[dict]
     index = {lang: i for i, lang in enumerate(langs)}
     tables: list[dict] = [{} for _ in range(LONGEST + 1)]
     kept = top.toArrow()
-    for lang, size, gram, n in zip(*(kept.column(c).to_pylist() for c in ("lang", "size", "gram", "n")), strict=True):
-        tables[size].setdefault(gram, []).append((index[lang], -float(np.log10(n / totals[lang, size]))))
+    rows: list[int] = []
+    for size, gram in zip(kept.column("size").to_pylist(), kept.column("gram").to_pylist(), strict=True):
+        table = tables[size]
+        rows.append(table.setdefault(gram, sum(map(len, tables))))
+    values = np.full((sum(map(len, tables)), len(langs)), PENALTY)
+    for row, lang, size, n in zip(rows, *(kept.column(c).to_pylist() for c in ("lang", "size", "n")), strict=True):
+        values[row, index[lang]] = -np.log10(n / totals[lang, size])
     fallback = max(range(len(langs)), key=lambda i: (totals[langs[i], 0], -i)) if langs else 0
-    return langs, tables, fallback
+    return langs, tables, values, fallback
 
 
 def language_id(df: DataFrame, docs: int = TRAINING_DOCS) -> DataFrame:
