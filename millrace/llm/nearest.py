@@ -5,7 +5,10 @@ all then have the largest norm M, and a query, scaled to M, has 0 there. Centroi
 sample (`SAMPLE_ROWS`, or `SAMPLE_BYTES`): halves of equal size, again and again, so lists are about equally long. There are
 at most `CENTROIDS`, whatever the data, so they and their neighbour graph fit into every worker. All vectors are indexed:
 a vector goes to the list of its nearest centroid and, near a boundary, to further lists. A query searches the graph and takes
-the lists whose centroid is at most (1 + `REACH`) times as far as the nearest.
+the lists whose centroid is at most (1 + reach) times as far as the nearest, and further ones until they hold `k` other ids.
+
+The reach follows from the data: `TRIED` queries are answered by brute force over all rows, in one job, and the reach is
+widened from `REACH` until the lists within it hold at least `RECALL` of what that found. At the widest all lists are read.
 
 A list longer than `PART_ROWS` lies in parts, dealt by a hash, so a vector that very many rows share is spread over tasks;
 queries stream past one part at a time. Scores are computed anew in double precision on the original vectors, in the
@@ -31,6 +34,10 @@ LIST_ROWS = 200
 COPIES = 3
 BOUNDARY = 0.03
 REACH = 0.13
+WIDER = 0.01  # step by which the reach grows
+TRIED = 256
+TRIED_BYTES = 8 << 20
+RECALL = 0.95  # 0.9 is required; the share over `TRIED` queries is off by 0.02 at most, as a rule
 DEGREE = 16
 BEAM = 64
 PART_ROWS = 8192
@@ -137,19 +144,35 @@ class CentroidGraph:
         row, k = np.nonzero(ok)
         return row, near[row, k]
 
-    def probes(self, q: np.ndarray, reach: float = REACH, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
-        """(row, list): the lists a query has to look into."""
-        rows, lists, left = [], [], np.arange(len(q))
-        while left.size:
-            near, d = self.search(q[left], beam)
-            d = np.sqrt(d)
-            ok = np.isfinite(d) & (d <= (1 + reach) * d[:, :1])
-            more = ok.all(axis=1) & (beam < len(self.at))  # the walk ended before the reach did: again, wider
-            row, k = np.nonzero(ok & ~more[:, None])
+    def probes(self, q: np.ndarray, reach: float = REACH, held: np.ndarray | None = None, need: int = 0, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
+        """(row, list): the lists a query has to look into: those within reach, and further ones until they hold `need` by `held`."""
+        near, d = self.search(q, beam)
+        ok = self.wanted(near, d, reach, held, need)
+        more = ok.all(axis=1) & (near.shape[1] < len(self.at))  # the walk ended before the reach did: all centroids, then
+        row, k = np.nonzero(ok & ~more[:, None])
+        rows, lists = [row], [near[row, k]]
+        left = np.flatnonzero(more)
+        if left.size:
+            d = self.distances(q[left])
+            near = np.argsort(d, axis=1, kind="stable")
+            row, k = np.nonzero(self.wanted(near, np.take_along_axis(d, near, 1), reach, held, need))
             rows.append(left[row])
             lists.append(near[row, k])
-            left, beam = left[more], 4 * beam
-        return np.concatenate(rows) if rows else np.zeros(0, np.int64), np.concatenate(lists) if lists else np.zeros(0, np.int64)
+        return np.concatenate(rows), np.concatenate(lists)
+
+    def distances(self, q: np.ndarray) -> np.ndarray:
+        """Squared distances of each query to all centroids."""
+        return np.maximum((q**2).sum(axis=1)[:, None] + self.norm[None, :] - 2 * q @ self.at.T, 0)
+
+    @staticmethod
+    def wanted(near: np.ndarray, square: np.ndarray, reach: float, held: np.ndarray | None, need: int) -> np.ndarray:
+        """Which of the centroids, nearest first, are within reach or still needed."""
+        d = np.sqrt(square)
+        ok = np.isfinite(d) & (d <= (1 + reach) * d[:, :1])
+        if held is not None:
+            before = np.cumsum(held[near], axis=1) - held[near]
+            ok |= np.isfinite(d) & (before < need)
+        return ok
 
 
 def usable(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
@@ -173,7 +196,62 @@ def raised(x: np.ndarray, most: float) -> np.ndarray:
     return np.concatenate([x, rest[:, None]], axis=1)
 
 
-def nearest(df: DataFrame, query_every: int, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding", reach: float = REACH) -> DataFrame:
+def asks_as(q: np.ndarray, most: float) -> np.ndarray:
+    """Queries as they are compared with centroids: of norm `most`, with 0 in the component that vectors have besides."""
+    return np.concatenate([q * (most / np.sqrt((q**2).sum(axis=1)))[:, None], np.zeros((len(q), 1))], axis=1)
+
+
+def brute(v: DataFrame, ids: np.ndarray, q: np.ndarray, k: int) -> DataFrame:
+    """(query_id, vec_id): the `k` nearest of each of a few queries among all rows, in one job."""
+    asked = v.sparkSession.sparkContext.broadcast((ids, q))
+
+    def run(batches):
+        query, x = asked.value
+        best = Best(k)
+        for batch in batches:
+            for at in range(0, batch.num_rows, PART_ROWS):
+                part = batch.slice(at, PART_ROWS)
+                best.add(*best_of(np.asarray(part.column("vec_id")), matrix(part.column("v")), query, x, k))
+                if best.n > HELD:
+                    best.cut()
+        if best.n:
+            yield best.emit()
+
+    found = v.select("vec_id", "v").mapInArrow(run, "query_id long, vec_id long, score double")
+    return ranked(found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")), k).select("query_id", "vec_id")
+
+
+def ranked(once: DataFrame, k: int) -> DataFrame:
+    """The `k` best of each query, with their rank; equal scores go by id."""
+    place = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    return once.withColumn("rank", F.row_number().over(place).cast("int")).where(F.col("rank") <= k)
+
+
+def reach_for(index: CentroidGraph, lists: DataFrame, v: DataFrame, tried: pa.Table, most: float, k: int, least: float, recall: float) -> float:
+    """The smallest reach, from `least` on, within which `lists` hold `recall` of the true neighbours of the queries tried."""
+    if not tried.num_rows:
+        return least
+    ids, first = np.unique(np.asarray(tried.column("vec_id")), return_index=True)
+    q = matrix(tried.column("v").combine_chunks())[first]
+    truth = brute(v, ids, q, k).toArrow()
+    if not truth.num_rows:
+        return least
+    asks, near = np.searchsorted(ids, np.asarray(truth.column("query_id"))), np.asarray(truth.column("vec_id"))
+    d = np.sqrt(index.distances(asks_as(q, most)))
+    ratio = d / np.maximum(d.min(axis=1, keepdims=True), 1e-300)
+    wanted = v.sparkSession.createDataFrame(pa.table({"vec_id": np.unique(near)}))
+    placed = lists.join(F.broadcast(wanted), "vec_id").select("vec_id", "list").distinct().toArrow()
+    vec, at = np.asarray(placed.column("vec_id")), np.asarray(placed.column("list"))
+    order = np.argsort(vec, kind="stable")
+    vec, at = vec[order], at[order]
+    begin, end = np.searchsorted(vec, near, side="left"), np.searchsorted(vec, near, side="right")
+    needed = np.sort([ratio[a, at[i:j]].min() - 1 for a, i, j in zip(asks, begin, end, strict=True)])
+    return max(least, float(np.ceil(needed[int(np.ceil(recall * len(needed))) - 1] / WIDER) * WIDER))
+
+
+def nearest(
+    df: DataFrame, query_every: int, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding", reach: float = REACH, recall: float = RECALL
+) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose id `query_every` divides, the `k` nearest other rows found."""
     spark = df.sparkSession
     ship(spark)
@@ -187,7 +265,11 @@ def nearest(df: DataFrame, query_every: int, k: int = 20, vec_id: str = "vec_id"
     # the rows with the smallest hashes: the same ones whatever the partitions
     drawn = v.orderBy(F.xxhash64("vec_id"), "vec_id").limit(rows).select("v").toArrow().column("v").combine_chunks()
     leaves = int(max(1, min(CENTROIDS, n // LIST_ROWS)))
-    index = spark.sparkContext.broadcast(CentroidGraph(split(raised(matrix(drawn), most), leaves)))
+    graph = CentroidGraph(split(raised(matrix(drawn), most), leaves))
+    index = spark.sparkContext.broadcast(graph)
+    some = max(1, min(TRIED, TRIED_BYTES // (8 * (seen["width"] + 1))))
+    tried = v.where(F.col("vec_id") % query_every == 0).orderBy(F.xxhash64("vec_id", F.lit(3)), "vec_id", F.xxhash64("v")).limit(some)
+    tried = tried.select("vec_id", "v").toArrow()
 
     def post(batches):
         for batch in batches:
@@ -201,19 +283,22 @@ def nearest(df: DataFrame, query_every: int, k: int = 20, vec_id: str = "vec_id"
         for batch in batches:
             for at in range(0, batch.num_rows, SEARCHED):
                 part = batch.slice(at, SEARCHED)
-                q = matrix(part.column("v"))
-                scaled = q * (most / np.sqrt((q**2).sum(axis=1)))[:, None]
-                row, lists = index.value.probes(np.concatenate([scaled, np.zeros((len(q), 1))], axis=1), reach)
+                row, lists = index.value.probes(asks_as(matrix(part.column("v")), most), reach, held, k + 1)
                 picked = part.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays([pa.array(lists), picked.column("vec_id"), picked.column("v")], names=["list", "vec_id", "v"])
 
     row = "list long, vec_id long, v array<double>"
     lists = written(v.select("vec_id", "v").mapInArrow(post, row), "lists")
+    reach = reach_for(graph, lists, v, tried, most, k, reach, recall)
     # a row for each list, of which there are at most CENTROIDS
     sizes = {r["list"]: r["count"] for r in lists.groupBy("list").count().collect()}
     parts = np.ones(leaves, np.int64)
     for which, count in sizes.items():
         parts[which] = -(-count // PART_ROWS)
+    # ids by the first list each is in: so many different ones do some lists hold at least, and all lists exactly
+    held = np.zeros(leaves, np.int64)
+    for r in lists.groupBy("vec_id").agg(F.min("list").alias("list")).groupBy("list").count().collect():
+        held[r["list"]] = r["count"]
     count_of = F.array(*(F.lit(int(p)) for p in parts)) if parts.max() > 1 else None
     of_list = F.lit(1) if count_of is None else F.get(count_of, F.col("list").cast("int"))
     asked = v.where(F.col("vec_id") % query_every == 0).select("vec_id", "v").mapInArrow(probe, row)
@@ -224,8 +309,7 @@ def nearest(df: DataFrame, query_every: int, k: int = 20, vec_id: str = "vec_id"
         lambda batches: scan(batches, k), "query_id long, vec_id long, score double"
     )
     once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    place = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return once.withColumn("rank", F.row_number().over(place).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return ranked(once, k).select("query_id", "rank", "vec_id", "score")
 
 
 class Best:

@@ -237,6 +237,34 @@ def test_nearest_vectors(spark, sf_dir):
     assert nearest.nearest(few.where("vec_id > 99"), 20).count() == 0
 
 
+def recall_of(spark, x, every, **more):
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(8)
+    got = {}
+    for r in nearest.nearest(df, every, **more).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = []
+    for k in range(0, len(x), every):
+        score = x @ x[k]
+        score[k] = -np.inf
+        hits.append(len(got.get(k, set()) & set(np.argsort(-score)[:20].tolist())) / 20)
+    return np.mean(hits), min(len(v) for v in got.values())
+
+
+def test_reach_follows_from_the_data(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "LIST_ROWS", 8)  # as many lists as a large table has
+    x = np.random.default_rng(1).normal(size=(6000, 64))
+    mean, least = recall_of(spark, x / np.linalg.norm(x, axis=1)[:, None], 20)
+    assert mean >= 0.9 and least == 20
+
+
+def test_queries_go_on_until_enough_is_found(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "LIST_ROWS", 4)
+    draw = np.random.default_rng(2)
+    x = np.repeat(np.eye(40) * 10, 10, axis=0) + draw.normal(size=(400, 40)) * 0.01
+    mean, least = recall_of(spark, x, 20, recall=0.01)
+    assert least == 20
+
+
 def test_pipeline(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "near_duplicates", "repeated_passages", "best_fit_packing"]
