@@ -228,7 +228,8 @@ def decided(held: list, marks: list, length: int, cuts) -> pa.RecordBatch:
 def fetch(batches, length: int):
     """The bytes of contexts, or of their parts, from (z, needs) of each document.
 
-    Of equal parts in one batch only the first goes on; the others are spans to remove, which have no bytes.
+    Of equal parts in one batch only the first goes on; the others are spans to remove, which have no bytes. Equal rows
+    give the same parts at the same places: those are one, here, and where they come from several batches in `matched`.
     """
     unpack = zstandard.ZstdDecompressor()
     for part in slices(batches, "z", 1 << 20):
@@ -243,7 +244,7 @@ def fetch(batches, length: int):
                 else:
                     rows.append((need["key"], k_id, k_hash, start, piece, len(piece)))
         met: set = set()
-        for key, k_id, k_hash, at, piece in sorted(parted):
+        for key, k_id, k_hash, at, piece in sorted(set(parted)):
             new = (key, piece) not in met
             met.add((key, piece))
             rows.append((key, k_id, k_hash, at, piece, len(piece)) if new else (k_id ^ at, k_id, k_hash, at, None, len(piece)))

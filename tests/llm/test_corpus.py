@@ -73,6 +73,14 @@ def test_repeats_over_block_ends_and_equal_rows(spark):
     assert suffix_dedup.digests(documents(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("cuts", [suffix_dedup.CUTS, ((0, 5),), ((0, 1),)])
+def test_equal_rows_are_one_document(spark, cuts):
+    rows = passages()
+    twice = spark.createDataFrame([*rows, *rows[:60], *rows[:20]], "doc_id long, text string").repartition(2)
+    got = [tuple(r) for r in suffix_dedup.digests(twice, cuts=cuts).collect()]
+    assert len(got) == len(rows) + 80 and {r[0]: r[1:] for r in got} == without_repeats(rows) and len(set(got)) == len(rows)
+
+
 def test_repeats_leave_whole_characters(spark):
     text = "é" * 60 + "end of it"
     df = spark.createDataFrame([(1, "é" * 60, "x"), (2, "q" + text, "y")], "doc_id long, text string, row string")
