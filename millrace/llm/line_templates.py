@@ -1,14 +1,14 @@
 """Line dedup by a log-template tree (operator 7).
 
 Each line goes down a tree of fixed depth: its number of words, then its first `LEADING` words, words with a digit counting
-as variable. Within a leaf, a word that stands at the same place in `MIN_SOURCES` lines or more is a constant, any other
-is variable; a line with at least half of its words constant has the template that its constants make. A line is removed
-where its template recurs in at least `MIN_SOURCES` documents that are not copies of each other: documents count by the
-leaf of their longest line, and at least half of the documents that have the template must differ in that. So lines
-that many documents share go, and a text of which there are many copies keeps its own.
+as variable. Within a leaf, a word that stands at the same place in the lines of `MIN_SOURCES` texts or more is a constant,
+any other is variable; a line with at least half of its words constant has the template that its constants make. A line is
+removed where its template recurs in at least `MIN_SOURCES` documents that are not copies of each other, or, with
+`LONG` words or more, where the line as it is (but for digits) recurs in at least `RECURS`, which short ones do by chance.
 
-Equal lines are counted once with their number before anything is dealt by their leaf, so a line that a third of all
-documents share is a single row there.
+Copies are equal texts and near-duplicates by SimHash, as in operator 8; each class of them counts once, whatever its
+size. A line that makes more than half of its document would make unlike documents near-duplicates, so that template is
+counted by what its documents hold besides; and where it recurs, so are the other templates of these documents.
 
 Lines without a word are neither counted nor removed. Null text counts as empty. Rows with a null id are told apart
 from others by their text; rows with equal ids and texts count once, and each is returned. An empty table gives an
@@ -19,15 +19,19 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import ship, slices, written
+from millrace.llm.simhash import components, fingerprint, links, shingle_hashes
 
 LEADING = 3
 MIN_SOURCES = 8
+RECURS = 2
+LONG = 6
 VARIABLE = "<*>"
 DIGIT = re.compile(r"\d")
 
@@ -55,53 +59,56 @@ def doc_keys(doc_id: str, text: str) -> tuple[Column, Column]:
 
 
 def leaves(docs: DataFrame) -> DataFrame:
-    """(k_id, k_hash, source, leaves): the leaf of every line, 0 without a word, and that of the longest line."""
+    """(k_id, k_hash, longest, whole, rest, leaves): the leaf of every line, 0 without a word, and fingerprints of the text.
+
+    `longest` is the place of the line that has more than half of all words, or -1; `rest` is without that line.
+    """
 
     def run(batches):
         for part in slices(batches):
-            sources, rows = [], []
+            rows, longest, prints = [], [], ([], [])
             for text in part.column("text").to_pylist():
-                own, longest, source = [], 0, 0
-                for line in text.split("\n"):
-                    words = masked(line)
-                    leaf = leaf_of(words) if words else 0
-                    own.append(leaf)
-                    if len(words) > longest:
-                        longest, source = len(words), leaf
-                sources.append(source)
-                rows.append(own)
+                lines = text.split("\n")
+                words = [masked(line) for line in lines]
+                rows.append([leaf_of(w) if w else 0 for w in words])
+                most = max(range(len(words)), key=lambda i: len(words[i]))
+                most = most if 2 * len(words[most]) > sum(map(len, words)) else -1
+                longest.append(most)
+                prints[0].append(fingerprint(shingle_hashes(text)))
+                prints[1].append(prints[0][-1] if most < 0 else fingerprint(shingle_hashes("\n".join(lines[:most] + lines[most + 1 :]))))
+            whole, rest = (pa.array(np.array(x, np.uint64).view(np.int64)) for x in prints)
             yield pa.RecordBatch.from_arrays(
-                [part.column("k_id"), part.column("k_hash"), pa.array(sources, pa.int64()), pa.array(rows, pa.list_(pa.int64()))],
-                names=["k_id", "k_hash", "source", "leaves"],
+                [part.column("k_id"), part.column("k_hash"), pa.array(longest, pa.int32()), whole, rest, pa.array(rows, pa.list_(pa.int64()))],
+                names=["k_id", "k_hash", "longest", "whole", "rest", "leaves"],
             )
 
-    return docs.mapInArrow(run, "k_id long, k_hash long, source long, leaves array<long>")
+    return docs.mapInArrow(run, "k_id long, k_hash long, longest int, whole long, rest long, leaves array<long>")
 
 
 def lines_in(asked: DataFrame) -> DataFrame:
-    """(k_id, k_hash, source, place, leaf, line, words): the lines at the places asked for."""
+    """(k_id, k_hash, place, leaf, line, words): the lines at the places asked for."""
 
     def run(batches):
         for part in slices(batches):
-            out: list[list] = [[], [], [], [], [], [], []]
-            for k_id, k_hash, source, text, places in zip(*(part.column(c).to_pylist() for c in ("k_id", "k_hash", "source", "text", "places")), strict=True):
+            out: list[list] = [[], [], [], [], [], []]
+            for k_id, k_hash, text, places in zip(*(part.column(c).to_pylist() for c in ("k_id", "k_hash", "text", "places")), strict=True):
                 all_lines = text.split("\n")
                 for place in places:
                     words = masked(all_lines[place])
-                    row = (k_id, k_hash, source, place, leaf_of(words), xxhash.xxh64_intdigest(" ".join(words), 2) - (1 << 63), words)
+                    row = (k_id, k_hash, place, leaf_of(words), xxhash.xxh64_intdigest(" ".join(words), 2) - (1 << 63), words)
                     for column, value in zip(out, row, strict=True):
                         column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.string()))
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=["k_id", "k_hash", "source", "place", "leaf", "line", "words"]
+                [pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=["k_id", "k_hash", "place", "leaf", "line", "words"]
             )
 
-    return asked.mapInArrow(run, "k_id long, k_hash long, source long, place int, leaf long, line long, words array<string>")
+    return asked.mapInArrow(run, "k_id long, k_hash long, place int, leaf long, line long, words array<string>")
 
 
 def templates(found: DataFrame, least: int) -> DataFrame:
     """(leaf, line, template) of the distinct lines that have enough constants."""
-    distinct = found.groupBy("leaf", "line").agg(F.first("words").alias("words"), F.count("*").alias("n"))
+    distinct = found.groupBy("leaf", "line").agg(F.first("words").alias("words"), F.count_distinct("k_hash").alias("n"))
     words = distinct.select("leaf", "line", "n", F.posexplode("words").alias("at", "word"))
     constant = words.groupBy("leaf", "at", "word").agg(F.sum("n").alias("m")).where((F.col("m") >= least) & (F.col("word") != VARIABLE))
     kept = words.join(constant.select("leaf", "at", "word", F.lit(True).alias("constant")), ["leaf", "at", "word"], "left")
@@ -111,26 +118,54 @@ def templates(found: DataFrame, least: int) -> DataFrame:
     return shape.where(2 * F.size("constants") >= F.col("size")).select("leaf", "line", F.xxhash64("leaf", "constants").alias("template"))
 
 
-def dropped_lines(docs: DataFrame, least: int = MIN_SOURCES) -> DataFrame:
+def classes(first: DataFrame) -> DataFrame:
+    """(k_id, k_hash, longest, whole, rest): fingerprints replaced by what names the class of near-duplicates."""
+    both = first.select(F.col("whole").alias("fp")).union(first.select(F.col("rest").alias("fp"))).distinct()
+    root_of = written(components(links(written(both, "prints"))), "roots")
+    for name in ("whole", "rest"):
+        root = root_of.select(F.col("node").alias(name), "root")
+        first = first.join(root, name, "left").withColumn(name, F.coalesce("root", name)).drop("root")
+    return first.select("k_id", "k_hash", "longest", "whole", "rest")
+
+
+def recurring(held: DataFrame) -> DataFrame:
+    """The templates that enough classes of documents have, from (template, need, key)."""
+    once = held.groupBy("template", "need", "key").agg(F.lit(1).alias("one"))
+    return once.groupBy("template", "need").count().where("count >= need").select("template")
+
+
+def dropped_lines(docs: DataFrame, least: int = MIN_SOURCES, recurs: int = RECURS) -> DataFrame:
     """(k_id, k_hash, places): the lines of each document that are to go; `docs` has (k_id, k_hash, text)."""
     tree = written(leaves(docs), "leaves")
-    by_leaf = tree.select("k_id", "k_hash", "source", F.posexplode("leaves").alias("place", "leaf")).where("leaf <> 0")
-    often = by_leaf.groupBy("leaf", "source").agg(F.lit(1).alias("one")).groupBy("leaf").count().where(F.col("count") >= least).select("leaf")
+    # one document of each text is counted
+    first = tree.groupBy("k_hash").agg(F.min(F.struct("k_id", "longest", "whole", "rest")).alias("one")).select("k_hash", "one.*")
+    first = written(classes(first), "classes")
+    by_leaf = tree.select("k_id", "k_hash", F.posexplode("leaves").alias("place", "leaf")).where("leaf <> 0")
+    often = by_leaf.groupBy("leaf").agg(F.min("k_hash").alias("low"), F.max("k_hash").alias("high")).where("low <> high").select("leaf")
     # only lines of leaves that recur can have a template that does
-    places = by_leaf.join(often, "leaf").groupBy("k_id", "k_hash", "source").agg(F.collect_list("place").alias("places"))
-    asked = docs.join(places, ["k_id", "k_hash"]).select("k_id", "k_hash", "source", "text", "places")
+    places = by_leaf.join(often, "leaf").groupBy("k_id", "k_hash").agg(F.collect_set("place").alias("places"))
+    asked = docs.join(places, ["k_id", "k_hash"]).select("k_id", "k_hash", "text", "places")
     found = written(lines_in(asked), "lines")
-    marked = found.join(templates(found, least), ["leaf", "line"]).select("k_id", "k_hash", "source", "place", "template")
-    counted = (
-        marked.groupBy("template", "source", "k_id", "k_hash")
-        .agg(F.lit(1).alias("one"))
-        .groupBy("template", "source")
-        .agg(F.count("*").alias("docs"))
-        .groupBy("template")
-        .agg(F.count("*").alias("sources"), F.sum("docs").alias("docs"))
+    counted = found.join(first.select("k_id", "k_hash"), ["k_id", "k_hash"])
+    as_it_is = found.select(
+        "k_id", "k_hash", "place", F.xxhash64(F.lit(1), "leaf", "line").alias("template"), F.when(F.size("words") >= LONG, min(recurs, least)).otherwise(least).alias("need")
+    )
+    shaped = found.join(templates(counted, least), ["leaf", "line"]).select("k_id", "k_hash", "place", "template", F.lit(least).alias("need"))
+    marked = written(as_it_is.union(shaped), "marked")
+    held = (
+        marked.join(first, ["k_id", "k_hash"])
+        .groupBy("template", "need", "k_id", "k_hash")
+        .agg(F.max(F.col("place") == F.col("longest")).alias("most"), F.first("whole").alias("whole"), F.first("rest").alias("rest"))
     )
-    recurring = counted.where((F.col("sources") >= least) & (2 * F.col("sources") >= F.col("docs"))).select("template")
-    return marked.join(recurring, "template").groupBy("k_id", "k_hash").agg(F.sort_array(F.collect_set("place")).alias("places"))
+    held = written(held, "held")
+    large = recurring(held.withColumn("key", F.when(F.col("most"), F.col("rest")).otherwise(F.col("whole"))))
+    large = written(large, "large")
+    without = held.where("most").join(large, "template").select("k_id", "k_hash", F.lit(True).alias("without")).distinct()
+    again = held.join(without, ["k_id", "k_hash"]).select("template").distinct()
+    small = held.join(again, "template").join(without, ["k_id", "k_hash"], "left")
+    small = recurring(small.withColumn("key", F.when(F.col("most") | F.col("without"), F.col("rest")).otherwise(F.col("whole"))))
+    gone = large.union(small).distinct()
+    return marked.join(gone, "template").groupBy("k_id", "k_hash").agg(F.sort_array(F.collect_set("place")).alias("places"))
 
 
 def without_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = MIN_SOURCES) -> DataFrame:

@@ -200,6 +200,29 @@ def test_templates(spark):
     assert line_templates.digests(documents(spark, [])).count() == 0
 
 
+def own_words(draw, n):
+    return " ".join("".join(draw.choice("abcdefghijklm") for _ in range(7)) for _ in range(n))
+
+
+def test_recurring_lines_among_copies_and_as_longest_lines(spark):
+    draw = random.Random(9)
+    shared, passage, few = "Read more about this on our own pages today", own_words(draw, 50), own_words(draw, 9)
+    footer = "All rights of this site are with its owners"
+    rows = [(i, f"{own_words(draw, 40)}\n{shared}\n{own_words(draw, 30)}") for i in range(100)]
+    rows += [(1000 + i, f"{own_words(random.Random(1), 40)}\n{shared}") for i in range(1000)]
+    near = own_words(draw, 400).split()
+    for i in range(60):  # one word another: near-duplicates
+        rows.append((3000 + i, "\n".join(" ".join(f"other{i}".replace(str(i), chr(97 + i % 26)) if k == 5 * i else w for k, w in enumerate(near[a : a + 40], a)) for a in range(0, 400, 40))))
+    rows += [(4000 + i, "\n".join([own_words(draw, 6), passage, *(own_words(draw, 5) for _ in range(i % 4)), footer])) for i in range(300)]
+    rows += [(5000 + i, f"{own_words(draw, 20)}\n{few}\n{own_words(draw, 20)}") for i in range(3)]
+    got = {r["doc_id"]: r for r in line_templates.without_lines(documents(spark, rows)).select("row.doc_id", "n_dropped", "kept_text").collect()}
+    lost = {d: [x for x in t.split("\n") if x not in got[d]["kept_text"].split("\n")] for d, t in rows}
+    assert all(lost[d] == [shared] for d, _ in rows if d < 3000)
+    assert all(lost[d] == [] for d, _ in rows if 3000 <= d < 4000)
+    assert all(lost[d] == [passage, footer] for d, _ in rows if 4000 <= d < 5000)
+    assert all(lost[d] == [few] for d, _ in rows if d >= 5000)
+
+
 def test_language_of_held_out_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language_id.language_id(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out")
