@@ -5,7 +5,20 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, language_id, line_quality, line_templates, nearest, packing, simhash, suffix_dedup, token_counts, token_records
+from millrace.llm import (
+    bpe,
+    conversation_repair,
+    language_id,
+    line_quality,
+    line_templates,
+    nearest,
+    packing,
+    runs,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    token_records,
+)
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -73,3 +86,13 @@ def op9(table):
 @query("op10_bpe_round_trip")
 def op10(table):
     return bpe.round_trip(table("documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op12_periodic_runs")
+def op12(table):
+    return runs.run_digests(table("documents"))
+
+
+@query("op13_conversation_repair")
+def op13(table):
+    return conversation_repair.repair_digests(table("conversations"))
