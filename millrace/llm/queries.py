@@ -15,6 +15,7 @@ from millrace.llm import (
     packing,
     runs,
     simhash,
+    size_aware_join,
     suffix_dedup,
     token_counts,
     token_records,
@@ -88,6 +89,11 @@ def op10(table):
     return bpe.round_trip(table("documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query("op11_shingle_join")
+def op11(table):
+    return size_aware_join.similar_documents(table("documents"))
+
+
 @query("op12_periodic_runs")
 def op12(table):
     return runs.run_digests(table("documents"))
