@@ -83,6 +83,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Removes tables that `written` made, once nothing will read them again."""
+    for table in tables:
+        for folder in {f.rpartition("/")[0] for f in table.inputFiles()}:
+            store, path = store_of(folder)
+            if path.rpartition("/")[2].startswith("llm-"):
+                store.delete_dir(path)
+
+
 def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The indexes starts[0] .. starts[0]+sizes[0]-1, starts[1] .. and so on."""
     ends = np.cumsum(sizes, dtype=np.int64)

@@ -16,10 +16,12 @@ How rare a shingle is comes from a sketch of fixed size in which every task adds
 shingles, so an error in it costs time and never a link. A shingle that a large share of all texts has is at the end of the
 order and is in no list but those of sets made of nothing else.
 
-A list is not expanded into pairs. First each set is held against the list's least set of about its size, which settles
-groups of near copies; lists whose sets are all connected by then are done. In the others, sets that are not yet connected
-are compared in tiles: how many shingles fall into each of 64 classes bounds what two sets can share, and only pairs that
-pass are held against each other, shingle by shingle. Lists of many sets are dealt out as pairs of parts.
+A list is not expanded into pairs. How many of their shingles fall into each of 64 classes bounds what two sets can share;
+of short lists only sets stay that may link with another one there. Each set is then held against the one in the middle of
+the list's sets of its size, which settles groups of near copies; lists whose sets are all connected by then are done. In the
+others, sets that are not yet connected are compared in tiles by 256 classes, and pairs that pass are held against each
+other: as profiles of as many classes as there are shingles, and what passes that shingle by shingle. Lists of many sets are
+dealt out as pairs of parts.
 
 Shingles are compared by 64-bit hashes, texts by 128-bit ones. Null and empty texts, and texts without words, have no
 shingles and link with nothing. Rows with a null id have a component like others, named by the smallest id in it, or null
@@ -40,7 +42,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import bounds, ragged, slices, texts, written
+from millrace.llm.common import bounds, discard, slices, texts, written
 from millrace.llm.simhash import components
 from millrace.llm.word_table import mixed, shingle_table, word_table
 
@@ -58,8 +60,13 @@ LIGHT = 16
 #: Entries of inverted lists that are handled at once, and that a task holds before it passes them on.
 BUCKET = 1 << 20
 HELD = 1 << 21
-CLASSES = 64
+#: Ids of documents that are sent to every executor at most.
+SENT_IDS = 1 << 20
+#: Classes that shingles are counted in, for lists as they come and for sets that are still apart.
+CLASSES, WIDE = 64, 256
 TILE = 256
+#: Sets in a list up to which one task looks for the one in the middle.
+LONG_LIST = 100_000
 TILE_ROWS = 4096
 NODE = np.dtype("S16")
 
@@ -98,7 +105,10 @@ def sets_in(part: pa.RecordBatch, size: int) -> Iterator[tuple[bytes, np.ndarray
 
 
 def members(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, node, n, light) of every row, and in rows with a `slot` the counters of a task; `light`: small sets."""
+    """(doc_id, node, n, classes, wide, light) of every row, and in rows with a `slot` the counters of a task.
+
+    `classes`, `wide`: how many shingles fall into each class, 255 at most; `light`: small sets themselves.
+    """
 
     def run(batches):
         seen: set[bytes] = set()
@@ -113,22 +123,29 @@ def members(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
             if fresh:
                 counts += np.bincount(counter_of(np.concatenate(fresh)), minlength=COUNTERS).astype(np.uint32)
             light = [s.astype("<u8").tobytes() if 0 < len(s) <= LIGHT else None for _, s in found]
-            yield batch(part.column("doc_id"), [x for x, _ in found], [len(s) for _, s in found], light, None, None)
+            classes, wide = ([counted(s, k) for _, s in found] for k in (CLASSES, WIDE))
+            yield batch(part.column("doc_id"), [x for x, _ in found], [len(s) for _, s in found], classes, wide, light, None, None)
         if counts.any():
             squeeze = zstandard.ZstdCompressor(level=1).compress
             rows = [squeeze(c.astype("<u4").tobytes()) for c in np.split(counts, SLOTS)]
-            yield batch([None] * SLOTS, None, None, None, range(SLOTS), rows)
+            yield batch([None] * SLOTS, None, None, None, None, None, range(SLOTS), rows)
 
-    def batch(ids, node, n, light, slot, counts):
+    def batch(ids, node, n, classes, wide, light, slot, counts):
         def column(values, kind):
             return pa.array(values, kind) if values is not None else pa.nulls(len(ids), kind)
 
-        columns = [column(node, pa.binary()), column(n, pa.int32()), column(light, pa.binary())]
+        columns = [column(node, pa.binary()), column(n, pa.int32()), *(column(x, pa.binary()) for x in (classes, wide, light))]
         columns += [column(slot, pa.int32()), column(counts, pa.binary())]
         ids = ids if isinstance(ids, pa.Array) else pa.array(ids, pa.int64())
-        return pa.RecordBatch.from_arrays([ids, *columns], names=["doc_id", "node", "n", "light", "slot", "counts"])
+        return pa.RecordBatch.from_arrays([ids, *columns], names=["doc_id", "node", "n", "classes", "wide", "light", "slot", "counts"])
+
+    return docs.mapInArrow(run, "doc_id long, node binary, n int, classes binary, wide binary, light binary, slot int, counts binary")
 
-    return docs.mapInArrow(run, "doc_id long, node binary, n int, light binary, slot int, counts binary")
+
+def counted(shingles: np.ndarray, classes: int) -> bytes:
+    """How many shingles fall into each class, 255 at most; `classes` is a power of two."""
+    at = (shingles >> np.uint64(65 - classes.bit_length())).astype(np.int64)
+    return np.minimum(np.bincount(at, minlength=classes), 255).astype(np.uint8).tobytes()
 
 
 def counter_of(shingles: np.ndarray) -> np.ndarray:
@@ -233,11 +250,40 @@ def light_links(light: DataFrame, most: int, percent: int = PERCENT) -> DataFram
     return met.where("a <> b").distinct()
 
 
-ENTRY = "h long, node binary, n int, hub binary"
+ENTRY = "h long, node binary, n int, hub binary, many int"
+
+
+def bands(h: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
+    """For rows by list, then size: where runs of sets begin that are in one list and about the same size."""
+    begin = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+    last = np.append(begin[1:], len(h)) - 1
+    band = np.zeros(len(h), bool)
+    band[begin] = True
+    # sizes within a list may lie too far apart
+    wide = 100 * n[begin] < percent * n[last]
+    for a, z in zip(begin[wide].tolist(), last[wide].tolist(), strict=True):
+        at = a
+        while (at := a + int(np.searchsorted(n[a : z + 1], 100 * n[at] // percent, side="right"))) <= z:
+            band[at] = True
+    return np.flatnonzero(band)
+
+
+def middle(starts: np.ndarray, number: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """For each row the one of its band whose classes are nearest to the band's mean; ties to the smaller number."""
+    rows = len(number)
+    size = np.diff(np.append(starts, rows))
+    mean = np.add.reduceat(classes.astype(np.float32), starts, axis=0) / size[:, None].astype(np.float32)
+    band, far = np.repeat(np.arange(len(starts)), size), np.empty(rows, np.float32)
+    for a in range(0, rows, 1 << 16):
+        z = slice(a, a + (1 << 16))
+        far[z] = np.abs(classes[z] - mean[band[z]]).sum(axis=1)
+    order = np.lexsort((number, far, band))
+    return np.repeat(order[starts], size)
 
 
 def inverted_lists(docs: DataFrame, counts: np.ndarray, most: int, buckets: int, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(h, node, n, hub): the lists of two sets or more, and for each set the least set of about its size in the list."""
+    """(h, node, n, hub, many): the lists of two sets or more, how many each holds, and for each set the least one of about
+    its size in the list."""
     level = levels(counts)
 
     def scan(batches):
@@ -309,35 +355,29 @@ def inverted_lists(docs: DataFrame, counts: np.ndarray, most: int, buckets: int,
         new[1:] = h[1:] != h[:-1]
         sizes = np.diff(np.append(np.flatnonzero(new), len(h)))
         many = np.repeat(sizes > 1, sizes)
-        h, own, new = h[many], own[many], new[many]
+        h, own, rows = h[many], own[many], np.repeat(sizes, sizes)[many]
         if not len(h):
             return
-        # where sizes within a list lie too far apart, it has several least sets
-        begin = np.flatnonzero(new)
         n = count[own]
-        last = np.append(begin[1:], len(h)) - 1
-        band = new.copy()
-        apart = 100 * n[begin] < percent * n[last]
-        for a, z in zip(begin[apart].tolist(), last[apart].tolist(), strict=True):
-            at = a
-            while (at := a + int(np.searchsorted(n[a : z + 1], 100 * n[at] // percent, side="right"))) <= z:
-                band[at] = True
-        starts = np.flatnonzero(band)
+        starts = bands(h, n, percent)
         hub = np.repeat(np.minimum.reduceat(own, starts), np.diff(np.append(starts, len(h))))
         raw = pa.Array.from_buffers(pa.binary(16), len(node), [None, pa.py_buffer(node.tobytes())]).cast(pa.binary())
         for a in range(0, len(h), 1 << 16):
             z = slice(a, a + (1 << 16))
-            columns = [pa.array(h[z].view(np.int64)), raw.take(pa.array(own[z])), pa.array(n[z], pa.int32()), raw.take(pa.array(hub[z]))]
-            yield pa.RecordBatch.from_arrays(columns, names=["h", "node", "n", "hub"])
+            columns = [pa.array(h[z].view(np.int64)), raw.take(pa.array(own[z])), pa.array(n[z], pa.int32())]
+            columns += [raw.take(pa.array(hub[z])), pa.array(rows[z], pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["h", "node", "n", "hub", "many"])
 
     entries = docs.mapInArrow(scan, "bucket int, entries binary")
     return entries.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(gather, ENTRY)
 
 
-def active_sets(docs: DataFrame, rows: DataFrame, nodes: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(node, n, classes, shingles) of the `nodes`, each from one document that has it."""
-    chosen = rows.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    mine = docs.join(chosen.select(F.col("doc_id").alias("one")).distinct(), F.col("doc_id").eqNullSafe(F.col("one")), "left_semi")
+def sets_of(docs: DataFrame, nodes: DataFrame, made, kind: str, size: int = SHINGLE) -> DataFrame:
+    """(node, n, made) of `nodes` (node, n, doc_id): what `made` gives for a list of sets, each from one of its documents. Texts are
+    only moved where there are more ids than `SENT_IDS`."""
+    ids = written(nodes.select(F.col("doc_id").alias("one")).distinct(), "ids")
+    ids = F.broadcast(ids) if ids.count() <= SENT_IDS else ids
+    mine = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("one")), "left_semi")
 
     def run(batches):
         seen: set[bytes] = set()
@@ -347,45 +387,85 @@ def active_sets(docs: DataFrame, rows: DataFrame, nodes: DataFrame, size: int =
                 if len(shingles) and name not in seen:
                     seen.add(name)
                     found.append((name, shingles))
-            if not found:
-                continue
-            sums = [np.minimum(np.bincount((x >> np.uint64(58)).astype(np.int64), minlength=CLASSES), 255).astype(np.uint8).tobytes() for _, x in found]
-            values = pa.array(np.concatenate([x for _, x in found]).view(np.int64))
-            sizes = np.array([len(x) for _, x in found])
-            columns = [pa.array([x for x, _ in found], pa.binary()), pa.array(sizes, pa.int32()), pa.array(sums, pa.binary())]
-            columns.append(pa.ListArray.from_arrays(pa.array(bounds(sizes), pa.int32()), values))
-            yield pa.RecordBatch.from_arrays(columns, names=["node", "n", "classes", "shingles"])
+            if found:
+                columns = [pa.array([x for x, _ in found], pa.binary()), made([x for _, x in found])]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "made"])
 
-    made = mine.mapInArrow(run, "node binary, n int, classes binary, shingles array<long>").join(nodes, "node", "left_semi")
-    return made.groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "classes", "shingles")))
+    # a document with a wanted id may have another text, and several may have the wanted one
+    found = mine.mapInArrow(run, f"node binary, made {kind}").join(nodes.select("node", "n"), "node")
+    return written(found.groupBy("node", "n").agg(F.first("made").alias("made")), "sets")
 
 
-def _classes(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, CLASSES).astype(np.int16)
+def whole(sets: list[np.ndarray]) -> pa.Array:
+    ends = pa.array(bounds(np.array([len(x) for x in sets])), pa.int32())
+    return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets).view(np.int64)))
 
 
-def may_link(n, m, apart, percent: int = PERCENT):
-    """Sets of n and m shingles that differ in `apart` at least."""
-    return (n + m - apart >= 2 * needed(n, m, percent)) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+def profiles(sets: list[np.ndarray]) -> pa.Array:
+    """How many shingles fall into each of as many classes as a set has shingles, to the next power of two."""
+    out = []
+    for x in sets:
+        out.append(counted(x, max(1 << int(len(x) - 1).bit_length(), 2)))
+    return pa.array(out, pa.binary())
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Those of the pairs (a, b) of nodes whose sets link: bounded by their classes first, then shingle by shingle."""
+def apart(a: bytes, b: bytes) -> int:
+    """In how many shingles two sets of these profiles differ at least."""
+    one, two = (np.frombuffer(x, np.uint8).astype(np.int64) for x in (a, b))
+    few = min(len(one), len(two))
+    return int(np.abs(one.reshape(few, -1).sum(axis=1) - two.reshape(few, -1).sum(axis=1)).sum())
 
-    def side(name, *columns):
-        return sets.select(F.col("node").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in columns))
+
+def _classes(column: pa.Array, classes: int = CLASSES) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, classes).astype(np.int16)
+
+
+def may_link(n, m, differ, percent: int = PERCENT):
+    """Whether sets of n and m shingles that differ in `differ` at least can link."""
+    return (n + m - differ >= 2 * needed(n, m, percent)) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+
+
+def near(pairs: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Those of the pairs (a, b) of nodes that may link by their sizes and classes."""
+
+    def side(name):
+        return nodes.select(F.col("node").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in ("n", "wide")))
 
     def run(batches):
         for b in batches:
             n, m = (np.asarray(b.column(c)).astype(np.int64) for c in ("n_a", "n_b"))
             if b.num_rows:
-                apart = np.abs(_classes(b.column("classes_a")) - _classes(b.column("classes_b"))).sum(axis=1)
-                yield b.select(["a", "b"]).filter(pa.array(may_link(n, m, apart, percent)))
+                differ = np.abs(_classes(b.column("wide_a"), WIDE) - _classes(b.column("wide_b"), WIDE)).sum(axis=1)
+                yield b.select(["a", "b"]).filter(pa.array(may_link(n, m, differ, percent)))
+
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a binary, b binary")
+
+
+def linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """Those of the pairs (a, b) that link, as a table: bounded by a profile of a byte a shingle, then shingle by shingle."""
 
-    near = pairs.join(side("a", "n", "classes"), "a").join(side("b", "n", "classes"), "b").mapInArrow(run, "a binary, b binary")
-    both = near.join(side("a", "n", "shingles"), "a").join(side("b", "n", "shingles"), "b")
-    shared = F.size(F.array_intersect("shingles_a", "shingles_b"))
-    return both.where(100 * shared >= percent * (F.col("n_a") + F.col("n_b") - shared)).select("a", "b")
+    def fetched(pairs, made, kind):
+        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        return sets_of(docs, wanted.join(nodes, "node").select("node", "n", "doc_id"), made, kind, size)
+
+    def sides(pairs, sets):
+        one, two = (sets.select(F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("n", "made"))) for x in ("a", "b"))
+        return pairs.join(one, "a").join(two, "b")
+
+    def run(batches):
+        for b in batches:
+            made = zip(b.column("made_a").to_pylist(), b.column("made_b").to_pylist(), strict=True)
+            n, m = (np.asarray(b.column(c)).astype(np.int64) for c in ("n_a", "n_b"))
+            yield b.select(["a", "b"]).filter(pa.array(may_link(n, m, np.array([apart(x, y) for x, y in made], np.int64), percent)))
+
+    bounded = fetched(pairs, profiles, "binary")
+    close = written(sides(pairs, bounded).mapInArrow(run, "a binary, b binary"), "pairs")
+    sets = fetched(close, whole, "array<long>")
+    shared = F.size(F.array_intersect("made_a", "made_b"))
+    links = sides(close, sets).where(100 * shared >= percent * (F.col("n_a") + F.col("n_b") - shared)).select("a", "b")
+    links = written(links, "links")
+    discard(bounded, close, sets)
+    return links
 
 
 def compared(list_id: np.ndarray, group: np.ndarray, n: np.ndarray, classes: np.ndarray, percent: int = PERCENT) -> Iterator[tuple]:
@@ -397,8 +477,8 @@ def compared(list_id: np.ndarray, group: np.ndarray, n: np.ndarray, classes: np.
     def pairs(i, j):
         keep = (group[i] != group[j]) & (100 * n[i] >= percent * n[j])
         i, j = i[keep], j[keep]
-        for a in range(0, len(i), 1 << 16):
-            x, y = i[a : a + (1 << 16)], j[a : a + (1 << 16)]
+        for a in range(0, len(i), 1 << 14):
+            x, y = i[a : a + (1 << 14)], j[a : a + (1 << 14)]
             near = may_link(n[x], n[y], np.abs(classes[x] - classes[y]).sum(axis=1), percent)
             yield x[near], y[near]
 
@@ -420,7 +500,53 @@ def compared(list_id: np.ndarray, group: np.ndarray, n: np.ndarray, classes: np.
                 yield from pairs(i[i < j], j[i < j])
 
 
-def open_pairs(lists: DataFrame, sets: DataFrame, groups: DataFrame, percent: int = PERCENT, tile_rows: int = TILE_ROWS) -> DataFrame:
+def whole_groups(batches, key: str, rows: int) -> Iterator[pa.Table]:
+    """Batches that come by `key` as tables of about `rows` rows that do not part a group."""
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n < rows:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        keys = np.asarray(table.column(key).chunk(0))
+        cut = int(np.searchsorted(keys, keys[-1], side="left"))
+        if cut:
+            yield table.slice(0, cut)
+        held, n = table.slice(cut).to_batches(), len(keys) - cut
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def promising(lists: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(h, node, hub): of short lists only the sets that may link with another one in them, of others all. The hub is the set
+    in the middle of those of its size: copies of a text lie around it, and link with it when they do not with one another.
+    """
+
+    def run(batches):
+        for table in whole_groups(batches, "h", 20_000):
+            h, n = (table.column(c).to_numpy().astype(np.int64) for c in ("h", "n"))
+            order = np.lexsort((n, h))
+            table, h, n = table.take(pa.array(order)), h[order], n[order]
+            classes = _classes(table.column("classes").combine_chunks())
+            short = np.flatnonzero(table.column("many").to_numpy() <= TILE)
+            keep = np.ones(len(h), bool)
+            keep[short] = False
+            for i, j in compared(h[short], np.arange(len(short)), n[short], classes[short], percent):
+                keep[short[i]] = keep[short[j]] = True
+            if not keep.any():
+                continue
+            node = table.column("node").combine_chunks().filter(pa.array(keep))
+            number = np.unique(np.array(node.to_pylist(), NODE), return_inverse=True)[1]
+            hub = middle(bands(h[keep], n[keep], percent), number, classes[keep])
+            yield pa.RecordBatch.from_arrays([pa.array(h[keep]), node, node.take(pa.array(hub))], names=["h", "node", "hub"])
+
+    some = lists.where(F.col("many") <= LONG_LIST).select("h", "node", "n", "many").join(nodes.select("node", "classes"), "node")
+    some = some.repartition("h").sortWithinPartitions("h").mapInArrow(run, "h long, node binary, hub binary")
+    return some.union(lists.where(F.col("many") > LONG_LIST).select("h", "node", "hub"))
+
+
+def open_pairs(lists: DataFrame, nodes: DataFrame, groups: DataFrame, percent: int = PERCENT, tile_rows: int = TILE_ROWS) -> DataFrame:
     """(a, b): pairs of sets in one list that are in different groups, may link, and were not held against each other."""
     placed = lists.join(groups, "node", "left").select("h", "node", "hub", F.coalesce("root", "node").alias("root"))
     # lists that are one group are done; a list over the limit is cut into parts, each pair of parts a list of its own
@@ -429,32 +555,19 @@ def open_pairs(lists: DataFrame, sets: DataFrame, groups: DataFrame, percent: in
     own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     dealt = left.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     tile = F.when(F.col("parts") == 1, F.col("h")).otherwise(F.xxhash64("h", F.least("own", "other"), F.greatest("own", "other")))
-    full = dealt.select(tile.alias("tile"), "node", "hub", F.xxhash64("root").alias("grp")).join(sets.select("node", "n", "classes"), "node")
+    full = dealt.select(tile.alias("tile"), "node", "hub", F.xxhash64("root").alias("grp")).join(nodes.select("node", "n", "wide"), "node")
 
     def run(batches):
-        held, rows = [], 0
-        for b in batches:
-            held.append(b)
-            rows += b.num_rows
-            if rows < 20_000:
-                continue
-            whole = pa.Table.from_batches(held).combine_chunks()
-            tiles = np.asarray(whole.column("tile").chunk(0))
-            cut = int(np.searchsorted(tiles, tiles[-1], side="left"))
-            yield from found(whole.slice(0, cut))
-            held, rows = whole.slice(cut).to_batches(), len(tiles) - cut
-        if held:
-            yield from found(pa.Table.from_batches(held))
+        for table in whole_groups(batches, "tile", 20_000):
+            yield from found(table)
 
     def found(table):
-        if not table.num_rows:
-            return
         tile, n, group = (table.column(c).to_numpy().astype(np.int64) for c in ("tile", "n", "grp"))
         order = np.lexsort((n, tile))
         table, tile, n, group = table.take(pa.array(order)), tile[order], n[order], group[order]
         node, hub = table.column("node").combine_chunks(), table.column("hub").combine_chunks()
         named, hubs = (np.array(x.to_pylist(), NODE) for x in (node, hub))
-        classes = _classes(table.column("classes").combine_chunks())
+        classes = _classes(table.column("wide").combine_chunks(), WIDE)
         for i, j in compared(tile, group, n, classes, percent):
             new = (named[i] != hubs[j]) & (named[j] != hubs[i])
             i, j = i[new], j[new]
@@ -470,16 +583,23 @@ def similar(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT, doc_id:
     docs = texts(df, doc_id, text)
     rows = written(members(docs, size), "members")
     counts, rows = sketch(rows.where("slot IS NOT NULL").select("slot", "counts")), rows.where("slot IS NULL").drop("slot", "counts")
-    light = written(rows.where("light IS NOT NULL").groupBy("node", "n").agg(F.first("light").alias("light")), "light")
+    firsts = [F.first(c).alias(c) for c in ("n", "classes", "wide", "light")]
+    nodes = written(rows.where("n > 0").groupBy("node").agg(*firsts, F.min("doc_id").alias("doc_id")), "nodes")
+    light = nodes.where("light IS NOT NULL").select("node", "n", "light")
     most = boundary(light, counts, percent)
-    entries = rows.agg(F.sum(F.col("n") * F.lit((100 - percent) / 100) + 1)).first()[0]
+    # what lists will hold, for the number of buckets
+    entries = nodes.agg(F.sum(F.col("n") * F.lit((100 - percent) / 100) + 1)).first()[0]
     lists = written(inverted_lists(docs, counts, most, int((entries or 0) // BUCKET) + 1, size, percent), "lists")
-    sets = written(active_sets(docs, rows, lists.select("node").distinct(), size), "sets")
-    first = lists.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    near = written(linked(first, sets, percent).union(light_links(light, most, percent)), "links")
-    groups = components(near).select("node", "root")
-    rest = written(linked(written(open_pairs(lists, sets, groups, percent), "pairs"), sets, percent), "links")
-    return rows.select("doc_id", "node", "n"), near.union(rest)
+    lists, every = written(promising(lists, nodes, percent), "lists"), lists
+    discard(every)
+    pairs = lists.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    pairs = written(near(pairs, nodes, percent), "pairs")
+    found = written(linked(pairs, nodes, docs, size, percent).union(light_links(light, most, percent)), "links")
+    groups = components(found).select("node", "root")
+    rest = written(open_pairs(lists, nodes, groups, percent), "pairs")
+    found = found.union(linked(rest, nodes, docs, size, percent))
+    discard(lists, pairs, rest)
+    return rows.select("doc_id", "node", "n"), found
 
 
 def similar_documents(df: DataFrame, size: int = SHINGLE, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -6,6 +6,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from millrace.llm import size_aware_join as join
@@ -100,11 +101,11 @@ def test_lists_cut_into_tiles_and_common_shingles(spark, monkeypatch):
     docs = join.texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "doc_id", "text")
     members = join.members(docs).where("slot IS NULL")
     lists = join.written(join.inverted_lists(docs, np.zeros(join.COUNTERS, np.float32), 0, 3), "lists")
-    sets = join.written(join.active_sets(docs, members, lists.select("node").distinct()), "sets")
+    nodes = members.groupBy("node").agg(F.first("n").alias("n"), F.first("wide").alias("wide"), F.min("doc_id").alias("doc_id"))
     nothing = spark.createDataFrame([], "node binary, root binary")
-    pairs = join.open_pairs(lists, sets, nothing, tile_rows=40)
-    hubs = lists.where("node <> hub").selectExpr("node AS a", "hub AS b").distinct()
-    links = join.linked(pairs, sets).union(join.linked(hubs, sets)).collect()
+    pairs = join.open_pairs(lists, nodes, nothing, tile_rows=40)
+    hubs = join.near(lists.where("node <> hub").selectExpr("node AS a", "hub AS b").distinct(), nodes)
+    links = join.linked(pairs, nodes, docs).union(join.linked(hubs, nodes, docs)).collect()
     name = {r.node: r.doc_id for r in members.select("node", "doc_id").collect()}
     assert links and len({c for _, _, c in want}) < len(rows)
     found = {frozenset((name[bytes(r.a)], name[bytes(r.b)])) for r in links}
@@ -141,3 +142,13 @@ def test_production_join(spark, sf_dir):
     docs = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     got = sorted((tuple(r) for r in driver.queries()["op11_shingle_join"](spark, sf_dir).collect()), key=str)
     assert got == components_by_hand(docs)
+
+
+def test_profiles_bound_the_difference():
+    draw = np.random.default_rng(3)
+    for _ in range(200):
+        pool = draw.integers(0, 1 << 64, 400, np.uint64, endpoint=False)
+        a, b = (np.unique(draw.choice(pool, draw.integers(1, 300))) for _ in range(2))
+        one, two = join.profiles([a, b]).to_pylist()
+        assert join.apart(one, two) <= len(np.setxor1d(a, b))
+        assert join.apart(one, one) == 0
