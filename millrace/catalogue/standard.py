@@ -20,6 +20,7 @@ from millrace.catalogue.checks import (
 from millrace.catalogue.tables import FEEDING_VARIANTS, SPECS
 from millrace.operators.quality import fill_ratio, stranded_columns
 from millrace.plans import reports
+from millrace.plans.checks import Check, RowCheck, UniqueCheck
 from millrace.plans.reports import ForeignKey
 from millrace.sources.sinks import TargetStore
 from millrace.sources.views import register_views
@@ -112,27 +113,27 @@ def validate(store: TargetStore, source=None) -> DataFrame:
         checks += _animal_checks(tables["cattle.cows"])
     tags = store.read("cattle.ear_tag_assignments", runs)
     if tags is not None:
-        checks.append(reports.unique_check("one active holder per tag", tags, [*_scope(tags), "ear_tag"], F.col("active")))
+        checks.append(UniqueCheck("one active holder per tag", tags, (*_scope(tags), "ear_tag"), F.col("active")))
     costs = tables.get("finance.costs")
     if costs is not None and set(COST_GROUP) <= set(costs.columns):
-        checks.append(reports.unique_check("one row per cost group", costs, [*_scope(costs), *COST_GROUP]))
+        checks.append(UniqueCheck("one row per cost group", costs, (*_scope(costs), *COST_GROUP)))
     weights = tables.get("weighing.weighing_events")
     if weights is not None:
-        checks.append(reports.rule_check("no negative weights", weights, F.col("weight") < 0))
+        checks.append(RowCheck("no negative weights", weights, F.col("weight") < 0))
     if source is not None:
         checks += _presence_checks(store, source, runs)
     return reports.all_checks(checks)
 
 
-def _animal_checks(cows: DataFrame) -> list[DataFrame]:
+def _animal_checks(cows: DataFrame) -> list[DataFrame | Check]:
     active = F.col("status") == "active"
     eid = F.nullif(F.replace("eid", F.lit(" "), F.lit("")), F.lit("")).alias("eid")
     checks = [
-        reports.rule_check("no empty tags", cows, F.col("ear_tag").isNull() | (F.col("ear_tag") == "")),
-        reports.unique_check("unique electronic ids of active animals", cows, [*_scope(cows), eid], active),
+        RowCheck("no empty tags", cows, F.col("ear_tag").isNull() | (F.col("ear_tag") == "")),
+        UniqueCheck("unique electronic ids of active animals", cows, (*_scope(cows), eid), active),
     ]
     if "vendor_id" in cows.columns:
-        checks.append(reports.rule_check("no zero vendors", cows, F.col("vendor_id") == 0))
+        checks.append(RowCheck("no zero vendors", cows, F.col("vendor_id") == 0))
     if "pen_id" in cows.columns:
         ratio = fill_ratio(cows, active, F.col("pen_id"))
         detail = F.concat_ws("", "filled_rows", F.lit("/"), "kept_rows", F.lit(" active animals in "), "distinct_values", F.lit(" pens"))

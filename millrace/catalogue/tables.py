@@ -109,6 +109,16 @@ PLACES: dict[tuple[int, str, str], str] = {
 # Feeding programmes, each with a table of details and one of regimens.
 FEEDING_VARIANTS = ("GE150", "L150", "Plateau", "ShortFeed", "WAGYU")
 
+# Event targets kept by year, their date columns, and the years.
+BY_YEAR = {
+    "health.drugs_given": "date_given",
+    "feed.penfeedsdata": "feed_date",
+    "finance.costs_feed_detail": "date_fed",
+    "commodity.commodtrans": "trans_date",
+    "digistar.digistar_data_history": "feed_date",
+}
+FIRST_YEAR, LAST_YEAR = 2020, 2029
+
 # Columns a target row must have, per target.
 REQUIRED: dict[str, str] = {
     "cattle.breeds": "name",
@@ -815,6 +825,8 @@ def _spec(order: int, database: str, source: str, target: str) -> TableSpec:
     details["rename"] = {"ID": "legacy_id", **details.get("rename", {})} if "ID" not in details.get("rename", {}) else details["rename"]
     details["required"] = tuple(REQUIRED.get(target, "").split())
     details["rules"] = _allowed(target)
+    if target in BY_YEAR:
+        details["years"] = (BY_YEAR[target], FIRST_YEAR, LAST_YEAR)
     without = tuple(details.get("without", ()))
     details["without"] = without if source in ANIMAL_TABLES else (*without, "cattle.cows")
     return TableSpec(source, target, order, database, split_words=source in SPLIT_AT_CAPITALS, **details)

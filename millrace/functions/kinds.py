@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -63,28 +62,21 @@ KINDS: dict[str, Callable[[Column, T.DataType], Column]] = {
 }
 
 
-# Words in a column's name that say how its text is to be read.
-NAMED_KINDS = {
-    "date": ("date", "timestamp", "until", "dob"),
-    "num": ("quantity", "qty", "weight", "price", "amount"),
-    "bool": ("is", "include", "inactive"),
+#: What a kind reads its cells as; kinds that are not named here are given the text as it stands.
+READ_AS = {
+    **dict.fromkeys(("num", "fk", "not_negative", "record_number", "num_or_one"), "num"),
+    **dict.fromkeys(("bool", "not_bool"), "bool"),
+    **dict.fromkeys(("date", "event_date", "real_date"), "date"),
 }
 
+# Texts that a flag is written as.
+FLAG_TEXTS = ("1", "0", "Y", "N", "TRUE", "FALSE")
 
-def kind_of_name(name: str) -> str:
-    """The kind of a text column by the words of its name; text where none says otherwise.
 
-    The same column is text on one farm and typed on another, so its type alone does not tell. A word for a number
-    counts only at the end of the name, one for a yes or no only at its start.
-    """
-    words = re.sub(r"[^A-Za-z0-9]+", " ", re.sub(r"(?<=[a-z0-9])(?=[A-Z])", " ", name)).lower().split()
-    if not words:
-        return "text"
-    if any(w in NAMED_KINDS["date"] for w in words):
-        return "date"
-    if words[-1] in NAMED_KINDS["num"]:
-        return "num"
-    return "bool" if words[0] in NAMED_KINDS["bool"] else "text"
+def unread(c: Column, kind: str) -> Column:
+    """Whether a text cell says something that its reading as a number, date or flag would lose."""
+    lost = ~F.upper(c).isin(*FLAG_TEXTS) if kind == "bool" else KINDS[kind](c, T.StringType()).isNull()
+    return F.coalesce((clean.trimmed(c) != "") & lost, F.lit(False))
 
 
 def kind_of(dtype: T.DataType) -> str:

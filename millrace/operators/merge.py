@@ -5,12 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.components import connected
 from millrace.operators.joins import left_lookup
-from millrace.operators.rank import first_per_key, flag_first, row_hash
-from millrace.session import durable
+from millrace.operators.rank import first_per_key, flag_first, number_rows, row_hash
+from millrace.session import stored
+
+#: Rows of one component that a task holds at most.
+COMPONENT_ROWS = 100_000
 
 # the columns of a unique key, and a condition rows must meet to be held to it
 UniqueKey = tuple[tuple[str, ...], str | None]
@@ -43,12 +48,12 @@ def mark_conflicts(
     order: Sequence[Column],
     flag: str = "_conflict",
     keep: Column | None = None,
+    most: int = COMPONENT_ROWS,
 ) -> DataFrame:
     """Mark batch rows an insert that ignores conflicts would not insert. Rows outside `keep` take no part.
 
     The target's rows win, then the earliest accepted row of the batch. A rejected row blocks nobody, so with
-    several unique keys the batch is settled in rounds: undecided rows that come first under all of their keys
-    are accepted and reject the rest that share a key; each round settles at least the earliest row.
+    several unique keys rows are settled by the components that their keys make of them.
     """
     uniques = [_plain(u) for u in uniques]
     keyed, keys = _key_parts(batch, uniques, keep)
@@ -63,33 +68,93 @@ def mark_conflicts(
         # rejected rows sort last, so the first row of a key is an accepted one if there is any
         firsts = flag_first(keyed, keys, [F.col(flag).asc(), *order], "_first")
         return firsts.withColumn(flag, F.col(flag) | ~F.col("_first")).drop("_first", *keys)
-    return _settle(keyed, keys, order, flag)
-
-
-def _settle(keyed: DataFrame, keys: list[str], order: Sequence[Column], flag: str) -> DataFrame:
-    columns = [c for c in keyed.columns if c not in keys]
-    plain = [F.col(f"`{c}`") for c in columns if c != flag]
-    # written down with a row id, so that copies of one row are told apart the same way under every key
-    numbered = keyed.withColumn("_hash", F.xxhash64(*plain)).withColumn("_row", F.monotonically_increasing_id())
-    fixed = durable(numbered)
-    settled = [fixed.where(F.col(flag)).select(*columns)]
-    undecided = fixed.where(~F.col(flag))
-    while not undecided.isEmpty():
-        ranked = undecided
-        for key in keys:
-            ranked = flag_first(ranked, [key], [*order, F.col("_hash"), F.col("_row")], f"_lead{key}", total=True)
-        leads = reduce(lambda a, b: a & b, [F.col(f"_lead{key}") for key in keys])
-        ranked = durable(ranked.withColumn("_accept", leads).drop(*[f"_lead{key}" for key in keys]))
-        accepted = ranked.where("_accept")
-        rest = ranked.where("NOT _accept").drop("_accept")
-        for key in keys:
-            taken = accepted.select(key).dropna().dropDuplicates().withColumn("_taken", F.lit(True))
-            rest = left_lookup(rest, taken, [key])
-            rest = rest.withColumn(flag, F.col(flag) | F.coalesce("_taken", F.lit(False))).drop("_taken")
-        rest = durable(rest)
-        settled += [accepted.select(*columns), rest.where(F.col(flag)).select(*columns)]
-        undecided = rest.where(~F.col(flag))
-    return reduce(DataFrame.unionByName, settled)
+    return _settle(keyed, keys, order, flag, most)
+
+
+def _settle(keyed: DataFrame, keys: list[str], order: Sequence[Column], flag: str, most: int) -> DataFrame:
+    """Several unique keys: rows are numbered in order of arrival and written down once; the rest works on numbers alone.
+
+    A key that several undecided rows hold is named by the first of them. Rows that hold no such key are in.
+    """
+    fixed = number_rows(keyed, order, "_row").withColumnRenamed(flag, "_lost")
+    open_rows = fixed.where("NOT _lost").select("_row", *keys)
+    contested = open_rows.select("_row")
+    for key in keys:
+        shared = open_rows.groupBy(key).agg(F.min("_row").alias(f"_lead{key}"), F.count(F.lit(1)).alias("_n"))
+        shared = shared.where((F.col("_n") > 1) & F.col(key).isNotNull()).drop("_n")
+        named = left_lookup(open_rows.select("_row", key), shared, [key]).select("_row", f"_lead{key}")
+        contested = contested.join(named, "_row")
+    leads = [f"_lead{key}" for key in keys]
+    rejected = _rejected(stored(contested.where(F.coalesce(*leads).isNotNull())), leads, most)
+    marked = fixed.join(rejected.withColumn("_out", F.lit(True)), "_row", "left")
+    return marked.withColumn(flag, F.col("_lost") | F.coalesce("_out", F.lit(False))).drop("_row", "_lost", "_out", *keys)
+
+
+def _rejected(rows: DataFrame, leads: list[str], most: int) -> DataFrame:
+    """(_row) of the rows (_row, leads...) that are not inserted: a row is in unless one before it that is in shares a lead.
+
+    First, rows that come first under all their leads are in, and rows that share one with them are out; that decides all
+    but chains. What is left falls into components. Those of at most `most` rows are gone through in order, many in a task,
+    each held alone; larger ones take another such round, which breaks them up.
+    """
+    out = []
+    while True:
+        first = reduce(lambda a, b: a & b, [F.col(c).isNull() | (F.col(c) == F.col("_row")) for c in leads])
+        accepted = rows.where(first).select("_row")
+        rest = rows.where(~first)
+        lost = F.lit(False)
+        for c in leads:
+            taken = accepted.select(F.col("_row").alias(c), F.lit(True).alias(f"_taken{c}"))
+            rest = left_lookup(rest, taken, [c])
+            lost = lost | F.coalesce(f"_taken{c}", F.lit(False))
+        decided = stored(rest.select("_row", *leads, lost.alias("_lost")))
+        out.append(decided.where("_lost").select("_row"))
+        left = decided.where("NOT _lost").drop("_lost")
+        count = left.count()
+        if not count:
+            break
+        if count <= most:
+            out.append(stored(left.withColumn("root", F.lit(0)).coalesce(1).sortWithinPartitions("_row").mapInArrow(_in_order(leads), "_row long")))
+            break
+        # a lead that is out hands its name on to nobody: the rest of its key keeps it as a mere name
+        pairs = reduce(DataFrame.union, [left.where(F.col(c).isNotNull()).select(F.col("_row").alias("a"), F.col(c).alias("b")) for c in leads])
+        roots = connected(pairs)
+        sizes = roots.groupBy("root").count()
+        grouped = left_lookup(left.join(roots.withColumnRenamed("node", "_row"), "_row"), sizes, ["root"])
+        small = grouped.where(F.col("count") <= most).select("root", "_row", *leads)
+        ordered = small.repartition("root").sortWithinPartitions("root", "_row")
+        out.append(stored(ordered.mapInArrow(_in_order(leads), "_row long")))
+        large = grouped.where(F.col("count") > most).select("_row", *leads)
+        if large.isEmpty():
+            break
+        rows = large.select("_row")
+        for c in leads:
+            again = large.groupBy(c).agg(F.min("_row").alias("_least"), F.count(F.lit(1)).alias("_n")).where((F.col("_n") > 1) & F.col(c).isNotNull())
+            named = left_lookup(large.select("_row", c), again, [c]).select("_row", F.col("_least").alias(c))
+            rows = rows.join(named, "_row")
+        rows = stored(rows)
+    return reduce(DataFrame.union, out)
+
+
+def _in_order(leads: Sequence[str]):
+    """Goes through the rows of each component in order of arrival and gives those that find a key taken."""
+
+    def run(batches):
+        now, taken = None, set()
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("root", "_row", *leads)]
+            lost = []
+            for root, row, *names in zip(*columns, strict=True):
+                if root != now:
+                    now, taken = root, set()
+                held = [(i, name) for i, name in enumerate(names) if name is not None]
+                if any(key in taken for key in held):
+                    lost.append(row)
+                else:
+                    taken.update(held)
+            yield pa.RecordBatch.from_arrays([pa.array(lost, pa.int64())], names=["_row"])
+
+    return run
 
 
 def insert_ignoring(batch: DataFrame, target: DataFrame | None, uniques: Sequence[UniqueKey | Sequence[str]], order: Sequence[Column]) -> DataFrame:

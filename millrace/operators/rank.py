@@ -48,14 +48,16 @@ def flag_first(
     return final.select(*[F.col(f"`{c}`") for c in columns], first.alias(flag))
 
 
-def number_rows(df: DataFrame, order: Sequence[str], name: str, start: int = 0, within: Sequence[str] = ()) -> DataFrame:
+def number_rows(
+    df: DataFrame, order: Sequence[str | Column], name: str, start: int = 0, within: Sequence[str] = ()
+) -> DataFrame:
     """Number all rows start+1, start+2, ... in the given order without sorting them in one task.
 
     With `within` the numbers restart for each value of those columns, however many rows share it.
     Rows are range partitioned (an input row id splits runs of equal rows) and written down once; the
     partition sizes, one number per partition, then give each partition its offset.
     """
-    total = [*[F.col(c) for c in [*within, *order]], row_hash(df), F.col("_tie")]
+    total = [*[F.col(c) if isinstance(c, str) else c for c in [*within, *order]], row_hash(df), F.col("_tie")]
     sorted_parts = (
         df.withColumn("_tie", F.monotonically_increasing_id())
         .repartitionByRange(*total)

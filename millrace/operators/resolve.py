@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.names import lower_name, upper_name
-from millrace.operators.joins import left_lookup
+from millrace.operators.joins import left_lookup, lookup_columns
 from millrace.operators.rank import number_rows
 
 
@@ -47,12 +47,9 @@ def chain(codes: DataFrame, code: str, label: str, named: DataFrame, name: str,
 def null_unknown(df: DataFrame, columns: Sequence[str], ids: DataFrame, id_column: str) -> DataFrame:
     """Null the listed references that are not among the ids."""
     known = ids.select(F.col(id_column).alias("_key")).dropna().dropDuplicates().withColumn("_value", F.lit(True))
-    base = df
-    for column in columns:
-        keys = base.select(F.col(column).alias("_key"))
-        joined = left_lookup(df.withColumn("_key", F.col(column)), known, ["_key"], keys_from=keys)
-        df = joined.withColumn(column, F.when(F.col("_value"), F.col(column))).drop("_key", "_value")
-    return df
+    found = lookup_columns(df, [(known, {f"_known_{c}": F.col(c) for c in columns})])
+    kept = found.withColumns({c: F.when(F.col(f"_known_{c}"), F.col(c)) for c in columns})
+    return kept.drop(*[f"_known_{c}" for c in columns])
 
 
 def orphans(child: DataFrame, foreign_key: str, parent: DataFrame, key: str) -> DataFrame:

@@ -12,13 +12,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.clean import canonical_text, trimmed
+from millrace.functions.kinds import kind_of, unread
 from millrace.operators.quality import date_ranges, duplicate_groups, duplicate_summary, null_rates
+from millrace.operators.rank import first_per_key
+from millrace.plans.checks import Check, ReferenceCheck, RowCheck, UniqueCheck, compiled
+from millrace.plans.table_plan import declared_kind, target_columns, target_names
 from millrace.spec import TableSpec
 
 # The limits of the reports.
 NULL_WARN_PCT = 30.0
 ORPHAN_FAIL_PCT = 5.0
 
+#: Parts that tables are compared in.
+BUCKETS = 4096
+
 
 def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
@@ -144,6 +151,41 @@ def check_specs(spark: SparkSession, specs: Sequence[TableSpec], produced: Mappi
     return spark.createDataFrame(rows, "source_table string, target_table string, column_name string, problem string")
 
 
+def lost_cells(spec: TableSpec, source: DataFrame, declared: T.StructType | None = None) -> DataFrame:
+    """(source_table, target_table, column_name, cells, lost): cells that say something, and those of them that their
+    declared kind cannot take. One pass over the source.
+
+    Kinds that set certain values to null on purpose (references to 0, negative numbers) are not looked at.
+    """
+    columns = target_columns(spec, source.schema, declared)
+    wanted = {f.name: declared_kind(f) for f in declared.fields} if declared else {}
+    counts = []
+    for f in source.schema.fields:
+        said = trimmed(canonical_text(F.col(f"`{f.name}`"), f.dataType)) != ""
+        for name in target_names(spec, f.name):
+            kind = spec.kind.get(name) or wanted.get(name) or kind_of(f.dataType)
+            if kind not in ("num", "date", "bool", "text", "time", "real_date"):
+                continue
+            lost = unread(F.col(f"`{f.name}`"), "bool") if kind == "bool" else columns[name].isNull()
+            if kind == "bool" and not isinstance(f.dataType, T.StringType):
+                lost = F.lit(False)
+            counts.append(F.struct(F.lit(name).alias("column_name"), F.count_if(said).alias("cells"), F.count_if(said & lost).alias("lost")))
+    one = source.agg(F.array(*counts).alias("c"))
+    return one.select(F.lit(spec.source).alias("source_table"), F.lit(spec.target).alias("target_table"), F.inline("c"))
+
+
+def spec_problems(spark: SparkSession, sources: Sequence[tuple[TableSpec, DataFrame]], schemas: Mapping[str, T.StructType]) -> DataFrame:
+    """(source_table, target_table, column_name, cells, lost, problem) over specs and their sources: what `check_specs` finds,
+    with the cells each unknown column holds, and columns whose declared kind cannot take some of their cells."""
+    keys = ["source_table", "target_table", "column_name"]
+    produced = {(spec.source, spec.target): [n for c in df.columns for n in target_names(spec, c)] for spec, df in sources}
+    declared = check_specs(spark, [s for s, _ in sources], lambda s: produced[(s.source, s.target)], schemas)
+    cells = _union([lost_cells(spec, df, schemas.get(spec.target)) for spec, df in sources])
+    lost = F.when(F.col("lost") > 0, "lost_cells")
+    # both sides have a row for each declared column
+    return cells.join(declared, keys, "full").select(*keys, "cells", "lost", F.coalesce("problem", lost).alias("problem")).where("problem IS NOT NULL")
+
+
 def check(name: str, failing: DataFrame, what: str, count: Column | None = None) -> DataFrame:
     """One row (check, passed, detail): passes when `failing` has no rows."""
     counted = failing.agg(F.count(F.lit(1)).alias("n") if count is None else count.alias("n"))
@@ -165,33 +207,22 @@ def count_checks(log: DataFrame) -> DataFrame:
     )
 
 
-def fk_checks(tables: Mapping[str, DataFrame], keys: Sequence[ForeignKey]) -> list[DataFrame]:
-    return [
-        reference_counts(tables[k.child], k.column, tables[k.parent], k.key).select(
-            F.lit(f"foreign key: {k.label}").alias("check"),
-            (F.col("orphans") == 0).alias("passed"),
-            F.concat(F.lit("orphaned rows: "), F.col("orphans").cast("string")).alias("detail"),
-        )
-        for k in keys
-        if k.child in tables and k.parent in tables
-    ]
+def fk_checks(tables: Mapping[str, DataFrame], keys: Sequence[ForeignKey]) -> list[Check]:
+    found = [k for k in keys if k.child in tables and k.parent in tables]
+    return [ReferenceCheck(f"foreign key: {k.label}", tables[k.child], k.column, tables[k.parent], k.key) for k in found]
 
 
-def filled_checks(tables: Mapping[str, DataFrame], pairs: Sequence[tuple[str, str, str]]) -> list[DataFrame]:
+def filled_checks(tables: Mapping[str, DataFrame], pairs: Sequence[tuple[str, str, str]]) -> list[Check]:
     """(table, legacy column, new column): rows with the legacy reference but not the new one."""
     return [
-        check(f"{new} filled: {t}", tables[t].where(F.col(old).isNotNull() & F.col(new).isNull()), "rows without it")
+        RowCheck(f"{new} filled: {t}", tables[t], F.col(old).isNotNull() & F.col(new).isNull(), "rows without it")
         for t, old, new in pairs
         if t in tables
     ]
 
 
-def unique_check(name: str, df: DataFrame, keys: Sequence[str | Column], keep: Column | None = None) -> DataFrame:
-    return check(name, duplicate_groups(df, keys, keep), "duplicate keys")
-
-
 def rule_check(name: str, df: DataFrame, failing: Column) -> DataFrame:
-    return check(name, df.where(failing), "failing rows")
+    return compiled([RowCheck(name, df, failing)])
 
 
 def loaded_check(name: str, sources: Sequence[DataFrame], target: DataFrame) -> DataFrame:
@@ -205,8 +236,11 @@ def loaded_check(name: str, sources: Sequence[DataFrame], target: DataFrame) ->
     )
 
 
-def all_checks(checks: Sequence[DataFrame]) -> DataFrame:
-    return _union([c.select("check", "passed", "detail") for c in checks])
+def all_checks(checks: Sequence[DataFrame | Check]) -> DataFrame:
+    """(check, passed, detail): reports as they are, and declared checks compiled, at most two scans a table."""
+    declared = [c for c in checks if not isinstance(c, DataFrame)]
+    reported = [c.select("check", "passed", "detail") for c in checks if isinstance(c, DataFrame)]
+    return _union([*reported, *([compiled(declared)] if declared else [])])
 
 
 def reconcile(pairs: Mapping[str, tuple[DataFrame | None, DataFrame | None]]) -> DataFrame:
@@ -232,20 +266,33 @@ def comparison_text(df: DataFrame, column: str) -> Column:
 
 
 def diff(
-    source: DataFrame, target: DataFrame, source_key: str, target_key: str, columns: Mapping[str, str]
+    source: DataFrame, target: DataFrame, source_key: str, target_key: str, columns: Mapping[str, str], buckets: int = BUCKETS
 ) -> DataFrame:
     """(key, kind, field, source_value, target_value) over all keys: missing, extra and differing fields.
 
-    Rows that share a key are compared by one row each: the one that is largest by its compared values.
+    Rows that share a key are compared by one row each: the one that is largest by its compared values. Keys are dealt into
+    buckets by hash; a bucket whose two sides have equal checksums is the same on both, and only the others' rows meet.
     """
 
-    def side(df: DataFrame, key: str, names: Sequence[str], label: str) -> DataFrame:
+    def side(df: DataFrame, key: str, names: Sequence[str]) -> DataFrame:
         values = F.array(*[comparison_text(df, n) for n in names]) if names else F.array().cast("array<string>")
         rows = df.where(F.col(f"`{key}`").isNotNull()).select(comparison_text(df, key).alias("key"), values.alias("v"))
-        return rows.groupBy("key").agg(F.max("v").alias(label))
-
-    left = side(source, source_key, list(columns), "s")
-    right = side(target, target_key, list(columns.values()), "t")
+        return rows.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int"))
+
+    def digests(rows: DataFrame, sign: int) -> DataFrame:
+        # two hashes of every row, added up modulo 2^64, and the number of rows
+        one, two = F.xxhash64("key", "v"), F.xxhash64(F.lit(1), "v", "key")
+        sums = [F.sum(F.shiftrightunsigned(h, s).bitwiseAND(0xFFFFFFFF) * sign) for h in (one, two) for s in (0, 32)]
+        return rows.groupBy("bucket").agg(F.sum(F.lit(sign)).alias("n"), *[x.alias(f"s{i}") for i, x in enumerate(sums)])
+
+    left, right = side(source, source_key, list(columns)), side(target, target_key, list(columns.values()))
+    names = ["n", "s0", "s1", "s2", "s3"]
+    both = digests(left, 1).union(digests(right, -1)).groupBy("bucket").agg(*[F.sum(c).alias(c) for c in names])
+    # at most a number for each bucket
+    differing = F.broadcast(both.where(reduce(lambda a, b: a | b, [F.col(c) != 0 for c in names])).select("bucket"))
+    largest = [F.col("v").desc()]
+    left = first_per_key(left.join(differing, "bucket", "left_semi"), ["key"], largest).select("key", F.col("v").alias("s"))
+    right = first_per_key(right.join(differing, "bucket", "left_semi"), ["key"], largest).select("key", F.col("v").alias("t"))
     fields = F.array(*[F.lit(n) for n in columns.values()]) if columns else F.array().cast("array<string>")
     cells = F.filter(
         F.transform(

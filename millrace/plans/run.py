@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import time
 from collections import defaultdict
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from concurrent.futures import Future, ThreadPoolExecutor, as_completed
 from datetime import datetime, timezone
 from functools import reduce
+from itertools import groupby
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.plans.table_plan import Planned, outcome, plan
+from millrace.plans.table_plan import Planned, outcome, plan, source_kind
+from millrace.session import durable
 from millrace.sources.raw import capture_raw
 from millrace.sources.readers import unite_farms
 from millrace.sources.sinks import LOG_SCHEMA, TargetStore
@@ -33,13 +37,16 @@ class Load:
         self.fresh: set[tuple[str, str]] = set()
         self.asked: set[str] = set()
 
-    def table(self, name: str, group: str = "main") -> DataFrame | None:
-        """A source table, over all farms when the run has several; None where it is absent everywhere."""
+    def table(self, name: str, group: str = "main", kind_for: Callable[[str], str | None] | None = None) -> DataFrame | None:
+        """A source table, over all farms when the run has several; None where it is absent everywhere.
+
+        `kind_for` says what columns are that farms store differently.
+        """
         if not self.farms:
             return self.source.read(name, group)
         found = {farm: self.source.read(name, group, farm) for farm in self.farms}
         present = {farm: df for farm, df in found.items() if df is not None}
-        return unite_farms(present) if present else None
+        return unite_farms(present, kind_for) if present else None
 
     def target(self, name: str) -> DataFrame | None:
         """A target as loaded by this run, or by earlier ones where this run did not touch it."""
@@ -76,6 +83,45 @@ def _log_row(run_id: int, source: str, target: str, started: datetime, farm: str
     return tuple(row[f.name] for f in LOG_SCHEMA.fields)
 
 
+def chains(specs: Sequence[TableSpec]) -> list[list[int]]:
+    """Specs of one order as numbers, in chains that do not depend on each other: sources of one target, and specs that refer
+    to a target of their own order, follow one another as they are listed."""
+    chain = list(range(len(specs)))
+    for i, spec in enumerate(specs):
+        needs = {spec.stored_as, *(r.target for r in spec.references)}
+        for j in range(i):
+            if needs & {specs[j].stored_as, specs[j].target}:
+                chain = [chain[j] if c == chain[i] else c for c in chain]
+    found: dict[int, list[int]] = {}
+    for i, c in enumerate(chain):
+        found.setdefault(c, []).append(i)
+    return list(found.values())
+
+
+def _outcomes(
+    spark: SparkSession, work: Sequence[Sequence[tuple[int, Callable[[], tuple | None]]]], parallel: int
+) -> Iterator[tuple[int, tuple | None]]:
+    """(number, outcome) of chains of steps as each is done; chains run side by side, the steps of one after each other."""
+    if parallel <= 1 or len(work) <= 1:
+        yield from ((i, step()) for chain in work for i, step in chain)
+        return
+    with ThreadPoolExecutor(min(parallel, len(work))) as pool:
+        waiting: dict[Future, tuple[int, Sequence]] = {}
+
+        def start(chain: Sequence) -> None:
+            if chain:
+                (number, step), *rest = chain
+                waiting[pool.submit(inheritable_thread_target(spark)(step))] = (number, rest)
+
+        for chain in work:
+            start(chain)
+        while waiting:
+            done = next(as_completed(list(waiting)))
+            number, rest = waiting.pop(done)
+            yield number, done.result()
+            start(rest)
+
+
 def run(
     spark: SparkSession,
     specs: Iterable[TableSpec],
@@ -89,11 +135,14 @@ def run(
     derivations: Sequence[Derivation] = (),
     raw_tables: Sequence[str] = (),
     run_id: int | None = None,
+    parallel: int = 4,
 ) -> DataFrame:
     """Load every spec and return the log, one row per (source, target).
 
-    A dry run plans and counts the same rows but writes no target, no raw table and no log.
+    Up to `parallel` specs of one order are loaded side by side; orders, and derivations, follow one another. The log is the
+    same as of a run one by one. A dry run plans and counts the same rows but writes no target, no raw table and no log.
     """
+    specs = list(specs)
     chosen = select_specs(specs, tables)
     run_id = run_id or int(time.time() * 1000)
     load = Load(source, farms, None if dry_run else store)
@@ -102,54 +151,62 @@ def run(
         order_of[spec.target] = max(order_of[spec.target], spec.order)
     farm_text = ",".join(farms) if farms else None
     rows: list[tuple] = []
-    steps = sorted(
-        [(s.order, 0, s) for s in chosen] + [(d[2], 1, d) for d in derivations],
-        key=lambda step: step[:2],
-    )
-    for order, is_derivation, step in steps:
+
+    def logged(name: str, target: str, work: Callable[[], dict | None]) -> tuple | None:
         started = datetime.now(timezone.utc)
-        if is_derivation:
-            target, name = step[0], step[1]
-            work = lambda: _derive(load, step, run_id, tables is not None)  # noqa: E731, B023
-        else:
-            target, name = step.stored_as, step.source
-            usable = [r for r in shared if order_of.get(r.target, order) < order]
-            work = lambda: _load_one(load, step, usable, (schemas or {}).get(step.target), run_id)  # noqa: E731, B023
         try:
             values = work()
         except Exception as error:  # noqa: BLE001  one table's failure is logged whole and leaves the others alone
             values = {"status": "failed", "error_details": str(error)}
-        if values is None:
-            continue
-        rows.append(_log_row(run_id, name, target, started, farm_text, **values))
-        if not dry_run:
-            _append(spark, store, rows[-1])
-    for name in raw_tables if tables is None else [t for t in raw_tables if t.lower() in {x.lower() for x in tables}]:
-        started = datetime.now(timezone.utc)
-        df = load.table(name)
-        if df is None:
-            continue
-        try:
-            written = read = df.count()
-            if not dry_run:
-                store.write_raw(capture_raw(df, name), name, run_id)
-                written = store.raw(name, run_id).count()
-            values = {"status": "completed", "rows_read": read, "rows_written": written}
-        except Exception as error:  # noqa: BLE001
-            values = {"status": "failed", "error_details": str(error)}
-        rows.append(_log_row(run_id, name, "raw", started, farm_text, **values))
-        if not dry_run:
-            _append(spark, store, rows[-1])
+        return None if values is None else _log_row(run_id, name, target, started, farm_text, **values)
+
+    def loaded(spec: TableSpec) -> tuple | None:
+        usable = [r for r in shared if order_of.get(r.target, spec.order) < spec.order]
+        return logged(spec.source, spec.stored_as, lambda: _load_one(load, spec, usable, (schemas or {}).get(spec.target), run_id))
+
+    def kept(outcomes: Iterable[tuple[int, tuple | None]]) -> None:
+        """Log rows, written one at a time as steps are done; put in the order of the steps."""
+        found = {}
+        for number, row in outcomes:
+            if row is not None:
+                found[number] = row
+                if not dry_run:
+                    _append(spark, store, row)
+        rows.extend(found[number] for number in sorted(found))
+
+    steps = sorted([(s.order, 0, s) for s in chosen] + [(d[2], 1, d) for d in derivations], key=lambda step: step[:2])
+    for (_, is_derivation), group in groupby(steps, key=lambda step: step[:2]):
+        found = [step for _, _, step in group]
+        if is_derivation:
+            one_by_one = ((i, logged(d[1], d[0], lambda: _derive(load, d, run_id, tables is not None))) for i, d in enumerate(found))  # noqa: B023
+            kept(one_by_one)
+        else:
+            kept(_outcomes(spark, [[(i, lambda s=found[i]: loaded(s)) for i in chain] for chain in chains(found)], parallel))
+    wanted = None if tables is None else {x.lower() for x in tables}
+    raw = [t for t in raw_tables if wanted is None or t.lower() in wanted]
+    work = [[(i, lambda t=t: logged(t, "raw", lambda: _capture(load, t, None if dry_run else store, run_id)))] for i, t in enumerate(raw)]
+    kept(_outcomes(spark, work, parallel))
     return spark.createDataFrame(rows, LOG_SCHEMA)
 
 
+def _capture(load: Load, name: str, store: TargetStore | None, run_id: int) -> dict | None:
+    df = load.table(name)
+    if df is None:
+        return None
+    written = read = df.count()
+    if store is not None:
+        store.write_raw(capture_raw(df, name), name, run_id)
+        written = store.raw(name, run_id).count()
+    return {"status": "completed", "rows_read": read, "rows_written": written}
+
+
 def _append(spark: SparkSession, store: TargetStore, row: tuple) -> None:
     """Append a log row as soon as its step is done; its table becomes the current one with that."""
     store.append_log(spark.createDataFrame([row], LOG_SCHEMA).coalesce(1))
 
 
 def _load_one(load: Load, spec: TableSpec, shared: Sequence[Reference], declared, run_id: int) -> dict | None:
-    source = load.table(spec.source, spec.database)
+    source = load.table(spec.source, spec.database, lambda column: source_kind(spec, declared, column))
     if source is None:
         # the target keeps what it had
         return {"status": "absent"}
@@ -164,10 +221,12 @@ def _load_one(load: Load, spec: TableSpec, shared: Sequence[Reference], declared
     )
     read = planned.source.count()
     if load.store is None:
+        # plans that use this target start from its rows, not from its plan
+        planned.frame = durable(planned.frame)
         counts = outcome(planned.frame).first()
         load.planned[spec.stored_as].append(planned.good)
     else:
-        written = load.store.write(planned.frame, spec.stored_as, spec.source, run_id)
+        written = load.store.write(planned.frame, spec.stored_as, spec.source, run_id, spec.years)
         counts = outcome(written).first()
         load.runs[(spec.source, spec.stored_as)] = run_id
         load.fresh.add((spec.source, spec.stored_as))
@@ -200,6 +259,7 @@ def _derive(load: Load, step: Derivation, run_id: int, selected: bool = False) -
     if df is None or (selected and not load.asked & load.loaded()):
         return None
     if load.store is None:
+        df = durable(df)
         load.planned[target].append(df)
         written = df.count()
     else:

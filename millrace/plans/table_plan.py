@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.clean import canonical_text, trimmed
-from millrace.functions.kinds import KINDS, kind_of, kind_of_name
+from millrace.functions.kinds import KINDS, READ_AS, kind_of
 from millrace.functions.names import upper_name
-from millrace.operators.joins import left_lookup
+from millrace.operators.joins import left_lookup, lookup_columns
 from millrace.operators.merge import mark_conflicts
 from millrace.operators.rank import assign_ids, first_per_key, number_rows
 from millrace.sources.raw import row_json, row_struct
@@ -53,24 +53,45 @@ def _with_missing(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, list[str]]
     return df.withColumns({c: F.lit(None).cast("string") for c in missing}), missing
 
 
-def target_columns(spec: TableSpec, schema: T.StructType, declared: T.StructType | None = None) -> dict[str, Column]:
-    """Target column -> cleaned expression over the source columns."""
+def target_names(spec: TableSpec, column: str) -> list[str]:
+    """The target columns a source column goes to; none where it is left out."""
+    key = column.lower()
+    if key in {d.lower() for d in spec.drop} or column.startswith("_"):
+        return []
     lower = lambda names: {n.lower(): v for n, v in names.items()}
-    rename, mirror = lower(spec.rename), lower(spec.mirror)
-    dropped = {d.lower() for d in spec.drop}
-    wanted = {f.name: f.dataType for f in declared.fields} if declared else {}
+    own = lower(spec.rename).get(key, target_name(column, spec.split_words))
+    return [own, *lower(spec.mirror).get(key, ())]
+
+
+def declared_kind(f: T.StructField) -> str:
+    return f.metadata.get("kind") or kind_of(f.dataType)
+
+
+def source_kind(spec: TableSpec, declared: T.StructType | None, column: str) -> str | None:
+    """What a source column is to be read as before farms are united: num, bool, date or text; None if nothing says.
+
+    Where its targets want different things it stays text, which loses nothing.
+    """
+    wanted = {f.name: declared_kind(f) for f in declared.fields} if declared else {}
+    kinds = {spec.kind.get(name, wanted.get(name)) for name in target_names(spec, column)}
+    if kinds <= {None}:
+        return None
+    read_as = {k and READ_AS.get(k, "text") for k in kinds}
+    return read_as.pop() if len(read_as) == 1 else "text"
+
+
+def target_columns(spec: TableSpec, schema: T.StructType, declared: T.StructType | None = None) -> dict[str, Column]:
+    """Target column -> cleaned expression over the source columns.
+
+    The kind is the spec's, else the declared target's, else that of the column's own type: names say nothing.
+    """
+    wanted = {f.name: f for f in declared.fields} if declared else {}
     out: dict[str, Column] = {}
     for f in schema.fields:
-        key = f.name.lower()
-        if key in dropped or f.name.startswith("_"):
-            continue
-        names = [rename.get(key, target_name(f.name, spec.split_words)), *mirror.get(key, ())]
-        for name in names:
-            by_type = kind_of(wanted.get(name, f.dataType))
-            if by_type == "text" and name not in wanted:
-                by_type = kind_of_name(f.name)
-            cleaned = KINDS[spec.kind.get(name, by_type)](_ref(f.name), f.dataType)
-            out[name] = cleaned.try_cast(wanted[name]) if name in wanted else cleaned
+        for name in target_names(spec, f.name):
+            kind = spec.kind.get(name) or (declared_kind(wanted[name]) if name in wanted else kind_of(f.dataType))
+            cleaned = KINDS[kind](_ref(f.name), f.dataType)
+            out[name] = cleaned.try_cast(wanted[name].dataType) if name in wanted else cleaned
     return out
 
 
@@ -105,33 +126,32 @@ def comparable(c: Column, dtype: T.DataType, names: bool = False, whole: bool =
 def _resolve(
     df: DataFrame, columns: dict[str, Column], references: Sequence[Reference], reader: Reader, scope: list[str]
 ) -> tuple[DataFrame, dict[str, Column], Column]:
-    """Join every reference that applies; returns the frame, the new target columns and the orphan test."""
+    """Join every parent that is referred to, once; returns the frame, the new target columns and the orphan test."""
     orphan = F.lit(False)
     out = dict(columns)
-    base = df
-    for i, ref in enumerate(references):
-        if ref.column not in columns:
-            continue
-        legacy = columns[ref.column]
-        dtype = df.select(legacy.alias("c")).schema["c"].dataType
-        whole = both_whole(ref, None if ref.build else reader(ref.target), dtype)
-        mapping = reference_mapping(ref, reader, scope, whole)
-        if mapping is None:
+    own = [r for r in references if r.column in columns]
+    types = df.select(*[columns[r.column].alias(f"c{i}") for i, r in enumerate(own)]).schema.fields if own else []
+    lookups: dict[tuple, tuple[DataFrame | None, dict[str, Column]]] = {}
+    found: dict[int, str] = {}
+    for i, (ref, f) in enumerate(zip(own, types, strict=True)):
+        whole = both_whole(ref, None if ref.build else reader(ref.target), f.dataType)
+        same = (ref.target, ref.key, ref.value, ref.names, ref.build, whole)
+        if same not in lookups:
+            lookups[same] = (reference_mapping(ref, reader, scope, whole), {})
+        mapping, keys = lookups[same]
+        if mapping is not None:
+            found[i] = f"_found{i}"
+            keys[found[i]] = comparable(columns[ref.column], f.dataType, ref.names, whole)
+    df = lookup_columns(df, [x for x in lookups.values() if x[0] is not None], scope)
+    for i, ref in enumerate(own):
+        legacy, into = columns[ref.column], ref.into or ref.column
+        if i not in found:
             if ref.required:
                 # nothing to find a parent in: a row that names one is an orphan, and keeps no legacy id as if it were new
                 orphan = orphan | legacy.isNotNull()
-                out[ref.into or ref.column] = F.lit(None).cast("long")
+                out[into] = F.lit(None).cast("long")
             continue
-        found = f"_found{i}"
-        key = comparable(legacy, dtype, ref.names, whole)
-        df = left_lookup(
-            df.withColumn("_key", key),
-            mapping.withColumnRenamed("_value", found),
-            [*scope, "_key"],
-            keys_from=base.withColumn("_key", key),
-        ).drop("_key")
-        hit = F.col(found)
-        into = ref.into or ref.column
+        hit = F.col(found[i])
         if ref.value or ref.build:
             out[into] = hit
         else:
@@ -193,7 +213,8 @@ def plan(
     shaped = shaped.withColumn("_reason", reason).drop("_early")
     # a row that breaks a rule never reaches the target, so it takes no unique key either
     tests = {r.name: F.expr(r.test) for r in spec.rules if r.column is None or r.column in names}
-    tests |= {f"required {c}": _ref(c).isNotNull() for c in spec.required if c in names}
+    needed = [*spec.required, *(f.name for f in (declared.fields if declared else ()) if not f.nullable)]
+    tests |= {f"required {c}": _ref(c).isNotNull() for c in needed if c in names}
     for name, test in tests.items():
         failed = ~F.coalesce(test, F.lit(True))
         shaped = shaped.withColumn("_reason", F.coalesce("_reason", F.when(failed, f"rule:{name}")))

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.kinds import KINDS
 from millrace.functions.names import json_cell
 from millrace.operators.shape import fill_both_ways
 from millrace.plans.table_plan import outcome, plan, rejected_counts, rejected_samples
 from millrace.queries.registry import query
+from millrace.sources import declared_schemas
 from millrace.spec import Reference, Rule, TableSpec
 
 
@@ -34,7 +36,7 @@ def column_mapping(t):
               l_extendedprice AS line_price, date_trunc('day', l_shipdate)::TIMESTAMP AS ship_date FROM lineitem""",
 )
 def text_typed(t):
-    """Numbers and dates that a source keeps as text come out as what their names say."""
+    """Numbers and dates that a source keeps as text come out as what the target declares."""
     text = t.lineitem.select(
         F.col("l_orderkey").alias("Order_ID"),
         F.col("l_linenumber").alias("Line_Number"),
@@ -42,10 +44,52 @@ def text_typed(t):
         F.col("l_extendedprice").cast("string").alias("Line_price"),
         F.date_format("l_shipdate", "dd/MM/yyyy").alias("Ship_date"),
     )
-    good = plan(TableSpec("lines", "core.lines"), text).good
+    declared = T.StructType.fromDDL("moved_qty double, line_price double, ship_date timestamp")
+    good = plan(TableSpec("lines", "core.lines"), text, declared=declared).good
     return good.withColumn("ship_date", F.col("ship_date").cast("timestamp_ntz"))
 
 
+#: What a target database lists in information_schema.columns, here for the table of b1_declared_kinds.
+LISTED = (
+    ("order_id", "bigint", "NO"),
+    ("head_todate", "numeric", "YES"),
+    ("date_format", "character varying", "YES"),
+    ("pay_weight", "boolean", "YES"),
+    ("ship_date", "date", "YES"),
+    ("ship_time", "time without time zone", "YES"),
+    ("old_code", "text", "YES"),
+    ("line", "integer", "YES"),
+)
+
+
+@query(
+    "b1_declared_kinds",
+    """SELECT l_orderkey AS order_id, l_quantity AS head_todate, l_shipmode AS date_format, l_linestatus = 'O' AS pay_weight,
+              CASE WHEN l_returnflag <> 'N' THEN CAST(l_shipdate AS DATE) END AS ship_date,
+              lpad(CAST(l_linenumber AS VARCHAR), 2, '0') || ':30:00' AS ship_time,
+              CASE WHEN l_linenumber = 1 THEN 'A-' ELSE '0' END || CAST(l_suppkey AS VARCHAR) AS old_code,
+              CASE WHEN l_linenumber < 5 THEN l_linenumber::INTEGER END AS line
+       FROM (SELECT *, CASE l_linestatus WHEN 'O' THEN 'AIR' ELSE 'TRUCK' END AS l_shipmode FROM lineitem)
+       WHERE l_linenumber <> 7""",
+)
+def declared_kinds(t):
+    """A table kept wholly as text, read as its target declares it, whatever its columns are called: a number named like a
+    date, a text named like a date, a flag named like a number; a row without what the target needs is set aside."""
+    n = F.col("l_linenumber")
+    text = t.lineitem.select(
+        F.when(n != 7, F.concat(F.lit(" "), F.col("l_orderkey"))).alias("Order_ID"),
+        F.col("l_quantity").cast("string").alias("Head_ToDate"),
+        F.when(F.col("l_linestatus") == "O", "AIR ").otherwise(" TRUCK").alias("Date_format"),
+        F.when(F.col("l_linestatus") == "O", "Y").otherwise("N").alias("Pay_Weight"),
+        F.when(F.col("l_returnflag") == "N", "31/02/1998").otherwise(F.date_format("l_shipdate", "d/M/yyyy")).alias("Ship_Date"),
+        F.concat(n.cast("string"), F.lit(".30")).alias("Ship_Time"),
+        F.concat(F.when(n == 1, "A-").otherwise("0"), F.col("l_suppkey")).alias("Old_Code"),
+        F.when(n < 5, n.cast("string")).otherwise("none").alias("Line"),
+    )
+    listed = t.spark.createDataFrame([("core", "lines", *c) for c in LISTED], "table_schema string, table_name string, column_name string, data_type string, is_nullable string")
+    return plan(TableSpec("lines", "core.lines"), text, declared=declared_schemas(listed)["core.lines"]).good
+
+
 @query(
     "b2_static_columns",
     "SELECT 'brand' AS category, p_partkey AS code, p_brand AS label FROM part",

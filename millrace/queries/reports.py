@@ -6,12 +6,15 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.operators.joins import left_lookup
 from millrace.plans import reports, users
+from millrace.plans.checks import RowCheck, UniqueCheck
 from millrace.plans.reports import ForeignKey
 from millrace.plans.table_plan import outcome, plan
 from millrace.queries.registry import query
+from millrace.session import durable
 from millrace.spec import Reference, TableSpec
 
 
@@ -118,6 +121,8 @@ def load_checks(t):
         validate="l_quantity > 2",
     )
     planned = plan(spec, t.lineitem, reader={"core.orders": known}.get)
+    # as in a load: checks read what was written
+    planned.frame = durable(planned.frame)
     read = t.lineitem.agg(F.count(F.lit(1)).alias("rows_read"))
     log = reports._side_by_side(outcome(planned.frame), read).select(
         "*", F.lit("lineitem").alias("source_table"), F.lit("core.lines").alias("target_table"),
@@ -156,12 +161,12 @@ def quality_rules(t):
     squeezed = F.replace("p_name", F.lit(" "), F.lit("")).alias("eid")
     return reports.all_checks(
         [
-            reports.rule_check("no empty tags", t.events, F.col("event_type").isNull() | (F.col("event_type") == "")),
-            reports.unique_check("one active holder", t.events, ["user_id"], F.col("event_type") == "purchase"),
-            reports.unique_check("unique electronic ids", t.part, [squeezed], F.col("p_size") > 10),
-            reports.unique_check("one row per cost group", t.lineitem, ["l_orderkey", "l_partkey", "l_returnflag"]),
-            reports.rule_check("no negative weights", t.customer, F.col("c_acctbal") < 0),
-            reports.rule_check("no zero vendors", t.supplier, F.col("s_nationkey") == 0),
+            RowCheck("no empty tags", t.events, F.col("event_type").isNull() | (F.col("event_type") == "")),
+            UniqueCheck("one active holder", t.events, ("user_id",), F.col("event_type") == "purchase"),
+            UniqueCheck("unique electronic ids", t.part, (squeezed,), F.col("p_size") > 10),
+            UniqueCheck("one row per cost group", t.lineitem, ("l_orderkey", "l_partkey", "l_returnflag")),
+            RowCheck("no negative weights", t.customer, F.col("c_acctbal") < 0),
+            RowCheck("no zero vendors", t.supplier, F.col("s_nationkey") == 0),
         ]
     )
 
@@ -279,3 +284,22 @@ def resolved_users(t):
 def memberships(t):
     return users.resolve_users(_staff(t))[1]
 
+
+
+@query(
+    "k4_spec_check",
+    """WITH c AS (SELECT 'c_name' AS column_name, count(c_name) AS cells, NULL::VARCHAR AS problem, 0::BIGINT AS lost FROM customer
+                  UNION ALL SELECT 'c_acctbal', count(c_acctbal), 'lost_cells', count(*) FILTER (WHERE c_custkey % 3 = 0) FROM customer
+                  UNION ALL SELECT 'c_custkey', count(*), NULL, 0 FROM customer
+                  UNION ALL SELECT 'c_nationkey', count(c_nationkey), NULL, 0 FROM customer
+                  UNION ALL SELECT 'c_mktsegment', count(c_mktsegment), 'unknown_column', 0 FROM customer)
+       SELECT 'customer' AS source_table, 'core.customers' AS target_table, column_name, cells, lost, problem FROM c
+       WHERE problem IS NOT NULL""",
+)
+def spec_check(t):
+    """Target columns the declared target lacks, and cells its kinds cannot take, with how many cells that concerns."""
+    balance = F.when(F.col("c_custkey") % 3 == 0, "unknown").otherwise(F.col("c_acctbal").cast("string"))
+    source = t.customer.withColumn("c_acctbal", balance)
+    declared = T.StructType.fromDDL("c_custkey bigint, c_name string, c_nationkey int, c_acctbal double")
+    spec = TableSpec("customer", "core.customers")
+    return reports.spec_problems(t.spark, [(spec, source)], {"core.customers": declared})

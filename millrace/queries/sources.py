@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.names import json_cell
 from millrace.operators.merge import insert_ignoring, upsert
 from millrace.operators.quality import null_rates
+from millrace.plans.table_plan import plan, source_kind
 from millrace.queries.registry import query
 from millrace.sources import ParquetSource, by_year, capture_raw, project_tolerant, register_views, unite_farms
+from millrace.spec import TableSpec
 
 
 @query("a1_table_scan", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
@@ -168,3 +171,57 @@ def mixed_types(t):
     return unite_farms({"typed": orders.where("o_orderkey % 2 = 0"), "text": text}).select(
         "farm", "o_orderkey", F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"), "o_totalprice"
     )
+
+
+@query(
+    "a13_text_kept",
+    """SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'numbers' ELSE 'codes' END AS farm, o_orderkey,
+              CASE WHEN o_orderkey % 2 = 1 AND o_custkey % 5 = 0 THEN 'C-' ELSE '' END || CAST(o_custkey AS VARCHAR) AS code,
+              CASE WHEN o_orderkey % 2 = 1 THEN '0' ELSE '' END || CAST(o_custkey AS VARCHAR) AS declared_text,
+              CASE WHEN o_orderkey % 2 = 1 AND o_custkey % 5 = 0 THEN NULL ELSE o_totalprice END AS declared_number,
+              o_totalprice AS price
+       FROM orders""",
+)
+def text_kept(t):
+    """One farm keeps numbers where another keeps text. Codes beside numbers stay, as no kind is declared and reading them
+    as numbers would lose some; declared columns are what they are declared to be; prices are numbers on both."""
+    odd = F.col("o_custkey") % 5 == 0
+    numbers = t.orders.where("o_orderkey % 2 = 0").select(
+        "o_orderkey",
+        F.col("o_custkey").alias("Code"),
+        F.col("o_custkey").alias("Declared_Text"),
+        F.col("o_totalprice").alias("Declared_Number"),
+        F.col("o_totalprice").alias("Price"),
+    )
+    codes = t.orders.where("o_orderkey % 2 = 1").select(
+        "o_orderkey",
+        F.concat(F.when(odd, "C-").otherwise(""), F.col("o_custkey")).alias("Code"),
+        F.concat(F.lit("0"), F.col("o_custkey")).alias("Declared_Text"),
+        F.when(odd, "not known").otherwise(F.col("o_totalprice").cast("string")).alias("Declared_Number"),
+        F.col("o_totalprice").cast("string").alias("Price"),
+    )
+    spec = TableSpec("orders", "core.orders")
+    declared = T.StructType.fromDDL("declared_text string, declared_number double")
+    united = unite_farms({"numbers": numbers, "codes": codes}, lambda column: source_kind(spec, declared, column))
+    return plan(spec, united, declared=declared).good
+
+
+@query(
+    "a9_two_keys",
+    """WITH RECURSIVE e AS (SELECT user_id, event_id, event_type, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS n FROM events),
+            k AS (SELECT *, CASE WHEN event_type <> 'view' THEN n // 2 END AS a, CASE WHEN value < 80 THEN (n + 1) // 2 END AS b FROM e),
+            s AS (SELECT user_id, n, event_id, a, b, TRUE AS ok FROM k WHERE n = 0
+                  UNION ALL SELECT k.user_id, k.n, k.event_id, k.a, k.b, NOT (s.ok AND coalesce(k.a = s.a OR k.b = s.b, FALSE))
+                  FROM s JOIN k ON k.user_id = s.user_id AND k.n = s.n + 1)
+       SELECT user_id, n, event_id FROM s WHERE ok""",
+)
+def insert_under_two_keys(t):
+    """Rows under two unique keys that tie each row to the one before and the one after it, with missing keys between."""
+    place = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")) - 1
+    rows = t.events.select("user_id", "event_id", "event_type", "value", place.cast("long").alias("n"))
+    keyed = rows.select(
+        "user_id", "n", "event_id",
+        F.when(F.col("event_type") != "view", F.floor(F.col("n") / 2)).alias("a"),
+        F.when(F.col("value") < 80, F.floor((F.col("n") + 1) / 2)).alias("b"),
+    )
+    return insert_ignoring(keyed, None, [("user_id", "a"), ("user_id", "b")], [F.col("n"), F.col("event_id")]).drop("a", "b")

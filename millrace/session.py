@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,3 +47,11 @@ def durable(df: DataFrame) -> DataFrame:
     """Write `df` to the checkpoint folder: later reads see one fixed result even when executors are lost."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """As `durable`, as a table: computed once, and of the size it has. A checkpoint keeps the size its plan was estimated to
+    have, and in rounds of joins such estimates multiply until planning takes longer than the work."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

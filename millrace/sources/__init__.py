@@ -1,3 +1,4 @@
+from millrace.sources.declared import declared_schemas, read_declared
 from millrace.sources.raw import capture_raw, capture_raw_tables
 from millrace.sources.readers import (
     ParquetSource,
@@ -18,7 +19,9 @@ __all__ = [
     "capture_raw",
     "capture_raw_tables",
     "database_group",
+    "declared_schemas",
     "project_tolerant",
+    "read_declared",
     "register_views",
     "schema_presence",
     "unite_farms",

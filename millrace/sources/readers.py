@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -12,13 +12,31 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.clean import canonical_text
-from millrace.functions.kinds import KINDS, kind_of
+from millrace.functions.kinds import KINDS, kind_of, unread
 
 # Companion databases are told apart by the end of their name.
 GROUP_SUFFIXES = {"_feedtrans": "feedtrans", "_feed": "feed"}
 
-# What databases say of a table they do not have.
-MISSING_TABLE = ("invalid object name", "doesn't exist", "does not exist", "no such table", "not found")
+# How databases say that they have no such table: the standard's states, and vendors' own numbers.
+MISSING_STATES = ("42P01", "42S02", "42X05")
+MISSING_CODES = {"SQLServerException": 208, "OracleDatabaseException": 942, "MySQLSyntaxErrorException": 1146}
+
+
+def missing_table(error: BaseException) -> bool:
+    """Whether a load failed because the database has no such table, by the state or number of its own error.
+
+    The words of a message decide nothing: an unknown host, database or column is not a missing table.
+    """
+    cause = getattr(error, "_origin", None) or getattr(error, "java_exception", None)
+    for _ in range(20):
+        if cause is None:
+            return False
+        kind = cause.getClass()
+        if any(m.getName() == "getSQLState" for m in kind.getMethods()):
+            code = next((n for name, n in MISSING_CODES.items() if kind.getSimpleName() == name), None)
+            return cause.getSQLState() in MISSING_STATES or (code is not None and cause.getErrorCode() == code)
+        cause = cause.getCause()
+    return False
 
 
 def database_group(database_name: str) -> str:
@@ -91,7 +109,7 @@ class JdbcSource:
         try:
             return self.spark.read.format("jdbc").options(**options).load()
         except PySparkException as error:
-            if any(said in str(error).lower() for said in MISSING_TABLE):
+            if missing_table(error):
                 return None
             raise
 
@@ -109,27 +127,32 @@ def project_tolerant(df: DataFrame, wanted: Mapping[str, T.DataType]) -> tuple[D
     return df.select(*columns), missing
 
 
-def unite_farms(frames: Mapping[str, DataFrame]) -> DataFrame:
-    """All farms' copies of one table as one frame with a `farm` column; absent columns are null.
+def unite_farms(frames: Mapping[str, DataFrame], kind_for: Callable[[str], str | None] | None = None) -> DataFrame:
+    """All farms' copies of one table as one frame with a `farm` column; absent columns are null. No cell stops the load.
 
-    Where a column is text on some farms and a date, number or flag on others, the text is read as that before the
-    farms are put together; where farms differ in more than that, all are taken as text. No cell stops the load.
+    Where farms store a column as different things, `kind_for` (num, bool, date or text by column name) decides what it is
+    read as. Where it says nothing, text is read as the numbers, dates or flags of the other farms only if that loses no
+    cell of any farm, which one pass over just those columns finds out; otherwise the column is text on all farms.
     """
     types: dict[str, set] = {}
     for df in frames.values():
         for f in df.schema.fields:
             types.setdefault(f.name.lower(), set()).add(f.dataType)
+    kinds = {name: {kind_of(t) for t in found} for name, found in types.items()}
+    mixed = {name for name, found in kinds.items() if len(found) > 1}
+    read_as = {name: kind_for(name) if kind_for else None for name in mixed}
+    guesses = {n: next(iter(kinds[n] - {"text"})) for n in mixed if read_as[n] is None and "text" in kinds[n] and len(kinds[n]) == 2}
+    lossless = _lossless(frames, {n: k for n, k in guesses.items() if k in ("num", "bool", "date")})
+    read_as = {n: guesses[n] if n in lossless else (read_as[n] or "text") for n in mixed}
 
     def aligned(df: DataFrame) -> DataFrame:
         changed = {}
         for f in df.schema.fields:
-            kinds = {kind_of(t) for t in types[f.name.lower()]}
-            own = F.col(f"`{f.name}`")
-            if len(kinds - {"text"}) == 1 and kind_of(f.dataType) == "text" and len(kinds) == 2:
-                changed[f.name] = KINDS[next(iter(kinds - {"text"}))](own, f.dataType)
-            elif len(kinds - {"text"}) > 1:
-                changed[f.name] = canonical_text(own, f.dataType)
-            elif kinds == {"date"} and len(types[f.name.lower()]) > 1:
+            name, own = f.name.lower(), F.col(f"`{f.name}`")
+            if name in mixed:
+                kind = read_as[name]
+                changed[f.name] = canonical_text(own, f.dataType) if kind == "text" else KINDS[kind](own, f.dataType)
+            elif kinds[name] == {"date"} and len(types[name]) > 1:
                 changed[f.name] = own.cast("timestamp")
         return df.withColumns(changed) if changed else df
 
@@ -137,6 +160,20 @@ def unite_farms(frames: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
+def _lossless(frames: Mapping[str, DataFrame], kinds: Mapping[str, str]) -> set[str]:
+    """Columns whose text cells can all be read as the given kinds: one job over those columns of all farms."""
+    counted = []
+    for df in frames.values():
+        texts = {f.name.lower(): f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+        tests = [(F.count_if(unread(F.col(f"`{texts[n]}`"), k)) if n in texts else F.lit(0)).alias(n) for n, k in kinds.items()]
+        if any(n in texts for n in kinds):
+            counted.append(df.agg(*tests))
+    if not counted:
+        return set()
+    total = reduce(DataFrame.union, counted).agg(*(F.sum(f"`{n}`").alias(n) for n in kinds)).first()
+    return {n for n in kinds if not total[n]}
+
+
 def schema_presence(spark: SparkSession, schemas: Mapping[str, Mapping[str, T.StructType]]) -> DataFrame:
     """Over farms -> tables -> schema: how many farms have each column, and with which types.
 

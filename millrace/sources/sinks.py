@@ -37,6 +37,7 @@ LOG_SCHEMA = T.StructType(
 )
 
 GOOD, REJECTED = "good", "rejected"
+YEAR_PART, DEFAULT_PART = "_year", "__default__"
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
@@ -57,10 +58,17 @@ class TargetStore:
     def _folder(self, target: str, source: str, run_id: int) -> str:
         return f"{self.root}/tables/{target}/source={source}/run={run_id}"
 
-    def write(self, planned: DataFrame, target: str, source: str, run_id: int) -> DataFrame:
-        """Write a planned frame once; good and rejected rows go to separate folders of the same job."""
+    def write(
+        self, planned: DataFrame, target: str, source: str, run_id: int, years: tuple[str, int, int] | None = None
+    ) -> DataFrame:
+        """Write a planned frame once; good and rejected rows go to separate folders of the same job, and with `years` (date
+        column, first, last year) the years of a target to separate folders below them."""
         folder = self._folder(target, source, run_id)
-        planned.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("_disposition").parquet(folder)
+        parts = ["_disposition"]
+        if years and years[0] in planned.columns:
+            planned = by_year(planned, *years, name=YEAR_PART, prefix="y")
+            parts.append(YEAR_PART)
+        planned.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*parts).parquet(folder)
         written = _read(self.spark, folder)
         return planned.limit(0) if written is None else written
 
@@ -80,14 +88,23 @@ class TargetStore:
         )
         return {(r["source_table"], r["target_table"]): r["run_id"] for r in latest.collect()}
 
-    def read(self, target: str, runs: dict[tuple[str, str], int] | None = None) -> DataFrame | None:
-        """The current rows of a target over all its sources."""
+    def read(
+        self, target: str, runs: dict[tuple[str, str], int] | None = None, years: tuple[int, int] | None = None
+    ) -> DataFrame | None:
+        """The current rows of a target over all its sources.
+
+        `years` leaves out the parts of other years where the target is kept by year: rows of the default part stay, as their
+        dates are missing or lie outside all years, so a condition on the date itself still belongs to the reader.
+        """
         runs = self.current_runs() if runs is None else runs
         frames = []
         for (source, name), run_id in sorted(runs.items()):
             if name == target:
                 df = _read(self.spark, f"{self._folder(target, source, run_id)}/_disposition={GOOD}")
                 if df is not None:
+                    if YEAR_PART in df.columns:
+                        wanted = [f"y{y}" for y in range(years[0], years[1] + 1)] if years else []
+                        df = (df.where(F.col(YEAR_PART).isin(*wanted, DEFAULT_PART)) if years else df).drop(YEAR_PART)
                     frames.append(df.withColumn("_source_table", F.lit(source)))
         if not frames:
             return None
@@ -123,8 +140,10 @@ class TargetStore:
         return _read(self.spark, f"{self.root}/log", LOG_SCHEMA)
 
 
-def by_year(df: DataFrame, date_column: str, first_year: int, last_year: int) -> DataFrame:
+def by_year(
+    df: DataFrame, date_column: str, first_year: int, last_year: int, name: str = "year", prefix: str = ""
+) -> DataFrame:
     """Add the partition column of a yearly layout; dates outside the range or missing go to __default__."""
     year = F.year(date_column)
     inside = year.between(first_year, last_year)
-    return df.withColumn("year", F.when(inside, year.cast("string")).otherwise("__default__"))
+    return df.withColumn(name, F.when(inside, F.concat(F.lit(prefix), year.cast("string"))).otherwise(DEFAULT_PART))

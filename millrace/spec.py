@@ -77,7 +77,7 @@ class TableSpec:
     (`split_words` also splits at capitals), cleaned by the kind of its type. `rename` moves a column, `mirror`
     adds copies under further names, `kind` overrides the cleaning by target column, `derive` adds computed
     columns, `drop` leaves source columns out. `expect` names source columns that hooks use. `required` columns
-    must be set where the target has them.
+    must be set where the target has them. `years` (date column, first, last year) keeps the target in yearly parts.
     """
 
     source: str
@@ -105,6 +105,7 @@ class TableSpec:
     surrogate: Surrogate | None = None
     prepare: Callable[[DataFrame], DataFrame] | None = None
     staged: bool = False
+    years: tuple[str, int, int] | None = None
 
     @property
     def stored_as(self) -> str:
