@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.names import json_cell
 from millrace.operators.merge import insert_ignoring, upsert
 from millrace.operators.quality import null_rates
+from millrace.plans.run import run
 from millrace.plans.table_plan import plan, source_kind
 from millrace.queries.registry import query
-from millrace.sources import ParquetSource, by_year, capture_raw, project_tolerant, register_views, unite_farms
-from millrace.spec import TableSpec
+from millrace.session import ensure_checkpoint_dir
+from millrace.sources import ParquetSource, TargetStore, by_year, capture_raw, project_tolerant, register_views, unite_farms
+from millrace.spec import Reference, TableSpec
 
 
 @query("a1_table_scan", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
@@ -225,3 +230,49 @@ def insert_under_two_keys(t):
         F.when(F.col("value") < 80, F.floor((F.col("n") + 1) / 2)).alias("b"),
     )
     return insert_ignoring(keyed, None, [("user_id", "a"), ("user_id", "b")], [F.col("n"), F.col("event_id")]).drop("a", "b")
+
+
+class _Legacy:
+    """Customers and orders as the tables of a legacy database, which has no third table."""
+
+    def __init__(self, t):
+        self.tables = {"Customers": t.customer, "Orders": t.orders}
+
+    def read(self, table, group="main", farm=None):
+        return self.tables.get(table)
+
+
+LOADED = (
+    TableSpec("Customers", "core.customers", order=10, validate="c_acctbal >= 0"),
+    TableSpec("Suppliers", "core.suppliers", order=10),
+    TableSpec("Orders", "core.orders", order=20, references=(Reference("o_custkey", "core.customers", "c_custkey", required=True),)),
+)
+LOG = """WITH good AS (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)
+    SELECT 'Customers' AS source_table, 'core.customers' AS target_table, 'completed' AS status, count(*) AS rows_read,
+           count(*) FILTER (WHERE c_acctbal >= 0) AS rows_written, count(*) FILTER (WHERE c_acctbal < 0) AS rows_validate,
+           0::BIGINT AS rows_orphan, {kept} AS kept FROM customer
+    UNION ALL SELECT 'Suppliers', 'core.suppliers', 'absent', NULL, NULL, NULL, NULL, 0::BIGINT
+    UNION ALL SELECT 'Orders', 'core.orders', 'completed', count(*), count(*) FILTER (WHERE o_custkey IN (FROM good)), 0,
+           count(*) FILTER (WHERE o_custkey NOT IN (FROM good)), {kept_orders} FROM orders"""
+
+
+def _load(t, dry_run):
+    """The log of a load into a store of its own, with the rows each target holds afterwards."""
+    store = TargetStore(t.spark, f"{ensure_checkpoint_dir(t.spark).rstrip('/')}/store-{uuid.uuid4().hex}")
+    log = run(t.spark, LOADED, _Legacy(t), store, dry_run=dry_run)
+    held = [(s.target, df) for s in LOADED if (df := store.read(s.target)) is not None]
+    counts = [df.agg(F.lit(name).alias("target_table"), F.count(F.lit(1)).alias("kept")) for name, df in held]
+    kept = reduce(DataFrame.union, counts) if counts else t.spark.createDataFrame([], "target_table string, kept long")
+    numbers = ("rows_read", "rows_written", "rows_validate", "rows_orphan")
+    return log.select("source_table", "target_table", "status", *numbers).join(kept, "target_table", "left").fillna(0, ["kept"])
+
+
+@query("a11_run_log", LOG.format(kept="count(*) FILTER (WHERE c_acctbal >= 0)", kept_orders="count(*) FILTER (WHERE o_custkey IN (FROM good))"))
+def run_log(t):
+    return _load(t, False)
+
+
+@query("a7_dry_run", LOG.format(kept="0::BIGINT", kept_orders="0::BIGINT"))
+def dry_run(t):
+    """The same counts, and nothing kept."""
+    return _load(t, True)
