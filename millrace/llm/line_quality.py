@@ -13,14 +13,19 @@ empty table need no special case.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: White space between words, closing marks, symbols, and stock phrases in lower case.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]"
+SPACES = " \t\n\v\f\r"
 CLOSING = r"[.!?…:;\"'”’»)\]。！？][\x20\x09-\x0D]*$"
+CLOSING_MARKS = tuple(".!?…:;\"'”’»)]。！？")
 SYMBOL = r"[#*$%&|<>]"
+SYMBOLS = "#*$%&|<>"
 CROWDED = r"[!?][!?]|[#*$%&|<>]"
 LINKS = r"(\|.*\|)|(».*»)|(›.*›)|(>.*>)"
 PHRASES = (
@@ -38,15 +43,29 @@ def count_of(text: Column, pattern: str) -> Column:
 
 
 def words_of(text: Column) -> Column:
-    return F.array_remove(F.split(text, SPACE + "+"), "")
+    for space in SPACES[1:]:
+        text = F.replace(text, F.lit(space), F.lit(" "))
+    return F.array_remove(F.split(text, " "), "")
+
+
+def bare(line: Column) -> Column:
+    """A line without white space at its end; empty if it has no word."""
+    return F.rtrim(line, F.lit(SPACES))
+
+
+def holds(text: Column, parts) -> Column:
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(p)) for p in parts])
 
 
 def line_fails(line: Column) -> Column:
-    """Whether a line with a word is to be removed."""
+    """Whether a line with a word is to be removed. What a pattern cannot do without is looked for before the pattern is."""
     crowd = F.regexp_count(line, F.lit(CROWDED)) * 100
     words = F.regexp_count(line, F.lit(WORD + "+"))
     return (
-        ~line.rlike(CLOSING) | (crowd > words * CROWDED_PERCENT) | line.rlike(LINKS) | F.lower(line).rlike(PHRASES)
+        ~F.right(bare(line), F.lit(1)).isin(*CLOSING_MARKS)
+        | (holds(line, [*SYMBOLS, *(a + b for a in "!?" for b in "!?")]) & (crowd > words * CROWDED_PERCENT))
+        | (holds(line, "|»›>") & line.rlike(LINKS))
+        | F.lower(line).rlike(PHRASES)
     )
 
 
@@ -59,7 +78,7 @@ def measured(df: DataFrame, doc_id: str = "doc_id", text: str = "text", cleaned:
         F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("t"), *whole
     )
     judged = F.transform(
-        F.split("t", "\n"), lambda x: F.struct(x.alias("x"), F.when(x.rlike(WORD), line_fails(x)).alias("bad"))
+        F.split("t", "\n"), lambda x: F.struct(x.alias("x"), F.when(bare(x) != "", line_fails(x)).alias("bad"))
     )
     d = with_repeated_words(once(d, w=words_of(F.col("t"))))
     d = once(d, lines=judged)
@@ -69,7 +88,7 @@ def measured(df: DataFrame, doc_id: str = "doc_id", text: str = "text", cleaned:
     measures = F.struct(
         F.size("w").cast("long").alias("n_words"),
         F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
-        count_of(F.col("t"), SYMBOL).cast("long").alias("n_symbols"),
+        F.when(holds(F.col("t"), SYMBOLS), count_of(F.col("t"), SYMBOL)).otherwise(0).cast("long").alias("n_symbols"),
         (F.size("worded") - F.size(F.array_distinct("worded"))).cast("long").alias("n_dup_lines"),
         "n_repeat_words",
         F.size("worded").cast("long").alias("n_lines"),
