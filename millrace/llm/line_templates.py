@@ -10,9 +10,10 @@ Copies are equal texts and near-duplicates by SimHash, as in operator 8; each cl
 size. A line that makes more than half of its document would make unlike documents near-duplicates, so that template is
 counted by what its documents hold besides; and where it recurs, so are the other templates of these documents.
 
-Lines without a word are neither counted nor removed. Null text counts as empty. Rows with a null id are told apart
-from others by their text; rows with equal ids and texts count once, and each is returned. An empty table gives an
-empty result.
+Equal texts are read, counted and judged once, and each row is returned with what its text came to; ids, null or repeated,
+play no part. Lines without a word are neither counted nor removed. Null text counts as empty. Long texts are taken whole,
+and alone where they are longer than a slice. Other columns are kept as they are, in `row`. An empty table gives an empty
+result. Frequent leaves, lines and words at a place are salted by how often they were counted.
 """
 
 from __future__ import annotations
@@ -25,14 +26,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import ship, slices, written
+from millrace.llm.common import discard, ship, slices, written
 from millrace.llm.simhash import components, fingerprint, links, shingle_hashes
+from millrace.operators.joins import left_lookup, partitions
 
 LEADING = 3
 MIN_SOURCES = 8
 RECURS = 2
 LONG = 6
 VARIABLE = "<*>"
+#: Names a text.
+KEY = ["k_hash", "k_more"]
 DIGIT = re.compile(r"\d")
 
 
@@ -47,85 +51,100 @@ def leaf_of(words: list[str]) -> int:
     return xxhash.xxh64_intdigest(f"{len(words)} " + " ".join(words[:LEADING]), 1) - (1 << 63)
 
 
-def keyed(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(k_id, k_hash, text): what names a document, without nulls."""
+def text_key(text: str) -> tuple[Column, Column]:
+    """What names a text: 128 bits of hash."""
     t = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    return df.select(*doc_keys(doc_id, text), t.alias("text"))
+    return F.xxhash64(t).alias("k_hash"), F.xxhash64(F.lit(1), t).alias("k_more")
 
 
-def doc_keys(doc_id: str, text: str) -> tuple[Column, Column]:
-    number, t = F.col(f"`{doc_id}`").cast("long"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    return F.coalesce(number, F.lit(-1)).alias("k_id"), F.xxhash64(number.isNull(), t).alias("k_hash")
+def distinct_texts(df: DataFrame, text: str) -> DataFrame:
+    """(k_hash, k_more, text) of the distinct texts, put together in each task before they are shuffled."""
+    t = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    return df.select(*text_key(text), t.alias("text")).groupBy(*KEY).agg(F.first("text").alias("text"))
 
 
-def leaves(docs: DataFrame) -> DataFrame:
-    """(k_id, k_hash, longest, whole, rest, leaves): the leaf of every line, 0 without a word, and fingerprints of the text.
+def read_lines(docs: DataFrame) -> DataFrame:
+    """What one reading of each text gives: its fingerprints, and leaf, name, first use and masked words of every line.
 
-    `longest` is the place of the line that has more than half of all words, or -1; `rest` is without that line.
+    `longest` is the place of the line that has more than half of all words, or -1; `rest` is the fingerprint without that
+    line. A line without a word has leaf 0. `first` is 2 where the text has not had the line before, nor another of its leaf,
+    1 where it has had the leaf only, else 0.
     """
 
     def run(batches):
         for part in slices(batches):
-            rows, longest, prints = [], [], ([], [])
+            rows: dict[str, list] = {c: [] for c in ("longest", "whole", "rest", "leaves", "lines", "first", "said")}
             for text in part.column("text").to_pylist():
                 lines = text.split("\n")
                 words = [masked(line) for line in lines]
-                rows.append([leaf_of(w) if w else 0 for w in words])
+                said = [" ".join(w) for w in words]
+                leaves = [leaf_of(w) if w else 0 for w in words]
+                seen: set[str] = set()
+                met: set[int] = set()
+                first = []
+                for leaf, line in zip(leaves, said, strict=True):
+                    first.append(0 if line in seen else 1 if leaf in met else 2)
+                    seen.add(line)
+                    met.add(leaf)
                 most = max(range(len(words)), key=lambda i: len(words[i]))
                 most = most if 2 * len(words[most]) > sum(map(len, words)) else -1
-                longest.append(most)
-                prints[0].append(fingerprint(shingle_hashes(text)))
-                prints[1].append(prints[0][-1] if most < 0 else fingerprint(shingle_hashes("\n".join(lines[:most] + lines[most + 1 :]))))
-            whole, rest = (pa.array(np.array(x, np.uint64).view(np.int64)) for x in prints)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("k_id"), part.column("k_hash"), pa.array(longest, pa.int32()), whole, rest, pa.array(rows, pa.list_(pa.int64()))],
-                names=["k_id", "k_hash", "longest", "whole", "rest", "leaves"],
-            )
+                whole = fingerprint(shingle_hashes(text))
+                rows["longest"].append(most)
+                rows["whole"].append(whole)
+                rows["rest"].append(whole if most < 0 else fingerprint(shingle_hashes("\n".join(lines[:most] + lines[most + 1 :]))))
+                rows["leaves"].append(leaves)
+                rows["lines"].append([xxhash.xxh64_intdigest(line, 2) - (1 << 63) for line in said])
+                rows["first"].append(first)
+                rows["said"].append(said)
+            prints = {c: pa.array(np.array(rows[c], np.uint64).view(np.int64)) for c in ("whole", "rest")}
+            lists = {c: pa.array(rows[c], pa.list_(kind)) for c, kind in (("leaves", pa.int64()), ("lines", pa.int64()), ("first", pa.int8()), ("said", pa.string()))}
+            columns = {c: part.column(c) for c in KEY} | {"longest": pa.array(rows["longest"], pa.int32())} | prints | lists
+            yield pa.RecordBatch.from_pydict(columns)
+
+    return docs.mapInArrow(
+        run,
+        "k_hash long, k_more long, longest int, whole long, rest long, leaves array<long>, lines array<long>, first array<byte>, said array<string>",
+    )
 
-    return docs.mapInArrow(run, "k_id long, k_hash long, longest int, whole long, rest long, leaves array<long>")
 
+def heavy(counts: DataFrame, keys: list[str], rows: str) -> DataFrame:
+    """The keys with more than half a partition's share of the rows, with salts for `left_lookup`: at most two a partition."""
+    total = counts.agg(F.sum(rows)).first()[0] or 1
+    pieces = F.ceil(2 * partitions(counts) * F.col(rows) / F.lit(total)).cast("int")
+    return counts.select(*keys, pieces.alias("_salts")).where("_salts > 1")
 
-def lines_in(asked: DataFrame) -> DataFrame:
-    """(k_id, k_hash, place, leaf, line, words): the lines at the places asked for."""
 
-    def run(batches):
-        for part in slices(batches):
-            out: list[list] = [[], [], [], [], [], []]
-            for k_id, k_hash, text, places in zip(*(part.column(c).to_pylist() for c in ("k_id", "k_hash", "text", "places")), strict=True):
-                all_lines = text.split("\n")
-                for place in places:
-                    words = masked(all_lines[place])
-                    row = (k_id, k_hash, place, leaf_of(words), xxhash.xxh64_intdigest(" ".join(words), 2) - (1 << 63), words)
-                    for column, value in zip(out, row, strict=True):
-                        column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=["k_id", "k_hash", "place", "leaf", "line", "words"]
-            )
-
-    return asked.mapInArrow(run, "k_id long, k_hash long, place int, leaf long, line long, words array<string>")
-
-
-def templates(found: DataFrame, least: int) -> DataFrame:
-    """(leaf, line, template) of the distinct lines that have enough constants."""
-    distinct = found.groupBy("leaf", "line").agg(F.first("words").alias("words"), F.count_distinct("k_hash").alias("n"))
-    words = distinct.select("leaf", "line", "n", F.posexplode("words").alias("at", "word"))
-    constant = words.groupBy("leaf", "at", "word").agg(F.sum("n").alias("m")).where((F.col("m") >= least) & (F.col("word") != VARIABLE))
-    kept = words.join(constant.select("leaf", "at", "word", F.lit(True).alias("constant")), ["leaf", "at", "word"], "left")
-    shape = kept.groupBy("leaf", "line").agg(
-        F.array_sort(F.collect_list(F.when(F.col("constant"), F.struct("at", "word")))).alias("constants"), F.count("*").alias("size")
+def templates(counts: DataFrame, least: int) -> DataFrame:
+    """(leaf, line, template) of the lines that have enough constants, from lines with the texts `n` that have them.
+
+    The leading words of a leaf are constant by what a leaf is. Words are compared by 64-bit hashes, and a template is the
+    exclusive-or of its constants with their places, so that no line's words are put together again.
+    """
+    words = counts.select("leaf", "line", "n", F.posexplode(F.split("said", " ")).alias("at", "word"))
+    open_word = (F.col("at") >= LEADING) & (F.col("word") != VARIABLE)
+    words = written(
+        words.select("leaf", "line", "n", "at", F.when(open_word, F.xxhash64("word")).alias("word"), ((F.col("word") != VARIABLE) & ~open_word).alias("leading"), F.xxhash64("at", "word").alias("part")),
+        "words",
     )
-    return shape.where(2 * F.size("constants") >= F.col("size")).select("leaf", "line", F.xxhash64("leaf", "constants").alias("template"))
+    by_place = written(words.where("word IS NOT NULL").groupBy("leaf", "at", "word").agg(F.sum("n").alias("m"), F.count("*").alias("rows")).where(F.col("m") >= least), "constants")
+    keys = ["leaf", "at", "word"]
+    kept = left_lookup(words, by_place.select(*keys, F.lit(True).alias("constant")), keys, heavy=heavy(by_place, keys, "rows"))
+    constant = F.coalesce("constant", "leading")
+    shape = kept.groupBy("leaf", "line").agg(F.bit_xor(F.when(constant, F.col("part"))).alias("shape"), F.count_if(constant).alias("constants"), F.count("*").alias("size"))
+    shape = shape.where("2 * constants >= size").select("leaf", "line", F.xxhash64("leaf", "shape", "constants").alias("template"))
+    shape = written(shape, "shapes")
+    discard(words, by_place)
+    return shape
 
 
 def classes(first: DataFrame) -> DataFrame:
-    """(k_id, k_hash, longest, whole, rest): fingerprints replaced by what names the class of near-duplicates."""
+    """(k_hash, k_more, longest, whole, rest): fingerprints replaced by what names the class of near-duplicates."""
     both = first.select(F.col("whole").alias("fp")).union(first.select(F.col("rest").alias("fp"))).distinct()
     root_of = written(components(links(written(both, "prints"))), "roots")
     for name in ("whole", "rest"):
         root = root_of.select(F.col("node").alias(name), "root")
-        first = first.join(root, name, "left").withColumn(name, F.coalesce("root", name)).drop("root")
-    return first.select("k_id", "k_hash", "longest", "whole", "rest")
+        first = left_lookup(first, root, [name]).withColumn(name, F.coalesce("root", name)).drop("root")
+    return first.select(*KEY, "longest", "whole", "rest")
 
 
 def recurring(held: DataFrame) -> DataFrame:
@@ -134,47 +153,66 @@ def recurring(held: DataFrame) -> DataFrame:
     return once.groupBy("template", "need").count().where("count >= need").select("template")
 
 
-def dropped_lines(docs: DataFrame, least: int = MIN_SOURCES, recurs: int = RECURS) -> DataFrame:
-    """(k_id, k_hash, places): the lines of each document that are to go; `docs` has (k_id, k_hash, text)."""
-    tree = written(leaves(docs), "leaves")
-    # one document of each text is counted
-    first = tree.groupBy("k_hash").agg(F.min(F.struct("k_id", "longest", "whole", "rest")).alias("one")).select("k_hash", "one.*")
-    first = written(classes(first), "classes")
-    by_leaf = tree.select("k_id", "k_hash", F.posexplode("leaves").alias("place", "leaf")).where("leaf <> 0")
-    often = by_leaf.groupBy("leaf").agg(F.min("k_hash").alias("low"), F.max("k_hash").alias("high")).where("low <> high").select("leaf")
+def named_lines(tree: DataFrame, least: int, recurs: int) -> DataFrame:
+    """(k_hash, k_more, place, template, need): the templates of lines that may recur, where they stand."""
     # only lines of leaves that recur can have a template that does
-    places = by_leaf.join(often, "leaf").groupBy("k_id", "k_hash").agg(F.collect_set("place").alias("places"))
-    asked = docs.join(places, ["k_id", "k_hash"]).select("k_id", "k_hash", "text", "places")
-    found = written(lines_in(asked), "lines")
-    counted = found.join(first.select("k_id", "k_hash"), ["k_id", "k_hash"])
-    as_it_is = found.select(
-        "k_id", "k_hash", "place", F.xxhash64(F.lit(1), "leaf", "line").alias("template"), F.when(F.size("words") >= LONG, min(recurs, least)).otherwise(least).alias("need")
+    uses = tree.select(F.explode(F.arrays_zip("leaves", "first")).alias("x")).select(F.col("x.leaves").alias("leaf"), F.col("x.first").alias("first"))
+    often = uses.where("leaf <> 0").groupBy("leaf").agg(F.count_if(F.col("first") == 2).alias("texts"), F.count("*").alias("rows"))
+    often = written(often.where("texts > 1"), "leaves")
+    at = tree.select(*KEY, F.posexplode(F.arrays_zip("leaves", "lines", "first", "said")).alias("place", "x"))
+    at = at.select(*KEY, "place", F.col("x.leaves").alias("leaf"), F.col("x.lines").alias("line"), F.col("x.first").alias("first"), F.col("x.said").alias("said"))
+    found = left_lookup(at.where("leaf <> 0"), often.select("leaf", "texts"), ["leaf"], "inner", heavy=heavy(often, ["leaf"], "rows"))
+    found = written(found, "lines")
+    counts = found.groupBy("leaf", "line").agg(
+        F.count_if(F.col("first") > 0).alias("n"), F.count("*").alias("rows"), F.max("texts").alias("texts"), F.first("said").alias("said")
     )
-    shaped = found.join(templates(counted, least), ["leaf", "line"]).select("k_id", "k_hash", "place", "template", F.lit(least).alias("need"))
-    marked = written(as_it_is.union(shaped), "marked")
+    counts = written(counts, "counts")
+    shaped = templates(counts.where(F.col("texts") >= least), least)
+    size = F.size(F.split("said", " "))
+    need = F.when(size >= LONG, min(recurs, least)).otherwise(least)
+    as_it_is = F.when(F.col("n") >= need, F.struct(F.xxhash64(F.lit(1), "leaf", "line").alias("template"), need.alias("need")))
+    like = F.when(F.col("template").isNotNull(), F.struct("template", F.lit(least).alias("need")))
+    names = counts.join(shaped, ["leaf", "line"], "left").select("leaf", "line", F.array_compact(F.array(as_it_is, like)).alias("names"))
+    names = written(names.where(F.size("names") > 0), "names")
+    keys = ["leaf", "line"]
+    marked = left_lookup(found.select(*KEY, "place", *keys), names, keys, "inner", heavy=heavy(counts, keys, "rows"))
+    marked = written(marked.select(*KEY, "place", F.inline("names")), "marked")
+    discard(often, found, counts, shaped, names)
+    return marked
+
+
+def dropped_lines(docs: DataFrame, least: int = MIN_SOURCES, recurs: int = RECURS) -> DataFrame:
+    """(k_hash, k_more, places): the lines of each distinct text that are to go."""
+    tree = written(read_lines(docs), "texts")
+    marked = named_lines(tree, least, recurs)
+    first = written(classes(tree.select(*KEY, "longest", "whole", "rest")), "classes")
+    discard(tree)
     held = (
-        marked.join(first, ["k_id", "k_hash"])
-        .groupBy("template", "need", "k_id", "k_hash")
-        .agg(F.max(F.col("place") == F.col("longest")).alias("most"), F.first("whole").alias("whole"), F.first("rest").alias("rest"))
+        marked.join(first, KEY)
+        .groupBy("template", "need", *KEY)
+        .agg(F.max(F.col("place") == F.col("longest")).alias("most"), F.min("whole").alias("whole"), F.min("rest").alias("rest"))
     )
     held = written(held, "held")
     large = recurring(held.withColumn("key", F.when(F.col("most"), F.col("rest")).otherwise(F.col("whole"))))
     large = written(large, "large")
-    without = held.where("most").join(large, "template").select("k_id", "k_hash", F.lit(True).alias("without")).distinct()
-    again = held.join(without, ["k_id", "k_hash"]).select("template").distinct()
-    small = held.join(again, "template").join(without, ["k_id", "k_hash"], "left")
+    without = left_lookup(held.where("most"), large.distinct(), ["template"], "inner").select(*KEY, F.lit(True).alias("without")).distinct()
+    without = written(without, "without")
+    again = written(held.join(without, KEY).select("template").distinct(), "again")
+    small = left_lookup(held, again, ["template"], "inner").join(without, KEY, "left")
     small = recurring(small.withColumn("key", F.when(F.col("most") | F.col("without"), F.col("rest")).otherwise(F.col("whole"))))
-    gone = large.union(small).distinct()
-    return marked.join(gone, "template").groupBy("k_id", "k_hash").agg(F.sort_array(F.collect_set("place")).alias("places"))
+    gone = written(large.union(small).distinct(), "gone")
+    places = left_lookup(marked, gone, ["template"], "inner").groupBy(*KEY).agg(F.sort_array(F.collect_set("place")).alias("places"))
+    places = written(places, "places")
+    discard(marked, first, held, large, without, again, gone)
+    return places
 
 
 def without_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = MIN_SOURCES) -> DataFrame:
     """(row, n_lines, n_dropped, kept_text): every row of `df` whole as `row`, with what is left of its text."""
     ship(df.sparkSession)
-    docs = keyed(df, doc_id, text)
-    gone = dropped_lines(docs, least)
-    whole = df.select(*doc_keys(doc_id, text), F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"))
-    joined = whole.join(gone, ["k_id", "k_hash"], "left")
+    gone = dropped_lines(distinct_texts(df, text), least)
+    whole = df.select(*text_key(text), F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"))
+    joined = left_lookup(whole, gone, KEY, keys_from=whole.select(*KEY))
     t = F.coalesce(F.col(f"row.`{text}`").cast("string"), F.lit(""))
     lines = F.split(t, "\n")
     rest = F.when(F.col("places").isNull(), t).otherwise(F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("places", i)), "\n"))
