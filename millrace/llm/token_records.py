@@ -6,9 +6,9 @@ ids, of 2 bytes where the vocabulary fits into them, else 4. Beside each file `x
 record (8 bytes each) and of the file's end, for reads in any order.
 
 Documents are range-partitioned by id and sorted, so files in the order of their names hold ascending ids; equal ids are
-ordered by their text. A file appears under its name only when it is complete, so a repeated or lost task does no harm.
+ordered by their text, rows without an id by a hash of theirs, as they may be many. A file appears under its name only when it is complete, so a repeated or lost task does no harm.
 
-Null text counts as empty; a document without tokens still has its end id. Rows with a null id get the id -2^63 in the
+Null text counts as empty, long texts are taken whole; a document without tokens still has its end id. Rows with a null id get the id -2^63 in the
 files and come back as null, first. Empty tables give no records. Extra columns change nothing.
 """
 
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from millrace.llm.bpe_library import library_ids, vocab_size
 from millrace.llm.checksums import crc32c, masked
 from millrace.llm.common import bounds, ragged, shared_folder, slices, store_of, texts, written
+from millrace.operators.joins import task_salt
 
 NULL_ID = -(1 << 63)
 FRAME = 16  # bytes around a payload
@@ -105,7 +106,10 @@ def write_records(df: DataFrame, folder: str, tokenizer_path: str, end_id: int,
         put(store, f"{path}/{shard:06d}.idx", [np.concatenate(places).astype("<i8").tobytes()])
         yield pa.RecordBatch.from_pydict({"shard": [shard], "records": [count[0]], "tokens": [count[1]]})
 
-    ordered = texts(df, doc_id, text).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # rows without an id may be many: they go by a hash of the text, and equal ones of them by the task they come from
+    nameless = F.when(F.col("doc_id").isNull(), F.xxhash64("text")), F.when(F.col("doc_id").isNull(), task_salt())
+    dealt = texts(df, doc_id, text).select("*", nameless[0].alias("hash"), nameless[1].alias("task"))
+    ordered = dealt.repartitionByRange("doc_id", "hash", "task").sortWithinPartitions("doc_id", "hash", "text").drop("hash", "task")
     # one job: its few rows, one per file, are the list of what is there
     return written(ordered.mapInArrow(run, "shard long, records long, tokens long"), "shards")
 
