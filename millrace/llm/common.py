@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import millrace
+from millrace.operators.joins import partitions
 from millrace.session import ensure_checkpoint_dir
 
 #: Text handled at once by a Python worker; a longer single text is handled alone.
@@ -92,6 +93,13 @@ def discard(*tables: DataFrame) -> None:
                 store.delete_dir(path)
 
 
+def heavy(counts: DataFrame, keys: list[str], rows: str) -> DataFrame:
+    """The keys with more than half a partition's share of the rows, with salts for `left_lookup`: at most two a partition."""
+    total = counts.agg(F.sum(rows)).first()[0] or 1
+    pieces = F.ceil(2 * partitions(counts) * F.col(rows) / F.lit(total)).cast("int")
+    return counts.select(*keys, pieces.alias("_salts")).where("_salts > 1")
+
+
 def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The indexes starts[0] .. starts[0]+sizes[0]-1, starts[1] .. and so on."""
     ends = np.cumsum(sizes, dtype=np.int64)

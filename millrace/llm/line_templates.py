@@ -26,9 +26,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import discard, ship, slices, written
+from millrace.llm.common import discard, heavy, ship, slices, written
 from millrace.llm.simhash import components, fingerprint, links, shingle_hashes
-from millrace.operators.joins import left_lookup, partitions
+from millrace.operators.joins import left_lookup
 
 LEADING = 3
 MIN_SOURCES = 8
@@ -107,13 +107,6 @@ def read_lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def heavy(counts: DataFrame, keys: list[str], rows: str) -> DataFrame:
-    """The keys with more than half a partition's share of the rows, with salts for `left_lookup`: at most two a partition."""
-    total = counts.agg(F.sum(rows)).first()[0] or 1
-    pieces = F.ceil(2 * partitions(counts) * F.col(rows) / F.lit(total)).cast("int")
-    return counts.select(*keys, pieces.alias("_salts")).where("_salts > 1")
-
-
 def templates(counts: DataFrame, least: int) -> DataFrame:
     """(leaf, line, template) of the lines that have enough constants, from lines with the texts `n` that have them.
 

@@ -9,8 +9,8 @@ passes on one link from each node to a representative of what it found connected
 settled by joins over the links.
 
 Null text counts as empty and has fingerprint zero, which links like any other. Rows with a null id have a component
-like others, named by the smallest id in it, or null where there is none. Repeated rows are each returned. An empty
-table gives an empty result; extra columns are left behind.
+like others, named by the smallest id in it, or null where there is none. Repeated rows are each returned. Long texts are
+taken whole. An empty table gives an empty result; extra columns are left behind, but kept by `one_of_each`.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import slices, texts, written
+from millrace.llm.common import heavy, ship, slices, texts, written
+from millrace.operators.joins import left_lookup
 from millrace.session import durable
 
 RADIUS = 3
@@ -217,11 +218,44 @@ def components(edges: DataFrame) -> DataFrame:
         stars = durable(small.union(lowest.select("a", F.col("m").alias("b"))).distinct())
 
 
+def rooted(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """`nodes`, one row for each fp, with the root of the component that it is in."""
+    root_of = components(links(nodes.select("fp"), radius))
+    placed = nodes.join(root_of, nodes["fp"] == root_of["node"], "left")
+    return placed.select(*nodes.columns, F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(df: DataFrame, radius: int = RADIUS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id), one row for each row of `df`."""
     marked = written(fingerprints(df, doc_id, text), "fingerprints")
-    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    root_of = components(links(nodes.select("fp"), radius))
-    placed = nodes.join(root_of, nodes["fp"] == root_of["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
+    placed = rooted(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), radius)
     named = placed.join(placed.groupBy("root").agg(F.min("first_id").alias("component_id")), "root").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(df: DataFrame, radius: int = RADIUS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of `df`, whole, for each component: the one with the smallest id.
+
+    Rows without an id come after all others, equal ids go by a hash of the text, then by one of the whole row; of rows that
+    are equal throughout one stays.
+    """
+    ship(df.sparkSession)
+    number, t = F.col(f"`{doc_id}`").cast("long"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    row = F.struct(*(F.col(f"`{c}`") for c in df.columns))
+    others = F.to_json(F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in df.columns if c not in (doc_id, text))))
+    keys = ["k_null", "k_id", "k_hash", "k_row"]
+    key = [number.isNull().alias(keys[0]), F.coalesce(number, F.lit(0)).alias(keys[1]), F.xxhash64(t).alias(keys[2])]
+    key.append(F.xxhash64(F.lit(1), t, F.col(f"`{text}`").isNull(), others).alias(keys[3]))
+
+    def run(batches):
+        for part in slices(batches):
+            found = np.array([fingerprint(shingle_hashes(x)) for x in part.column("text").to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keys), pa.array(found.view(np.int64))], names=[*keys, "fp"])
+
+    read = df.select(*key, t.alias("text")).mapInArrow(run, "k_null boolean, k_id long, k_hash long, k_row long, fp long")
+    rows = written(read.groupBy(*keys, "fp").agg(F.count("*").alias("rows")), "fingerprints")
+    placed = rooted(rows.groupBy("fp").agg(F.min(F.struct(*keys, "rows")).alias("one")), radius)
+    stay = written(placed.groupBy("root").agg(F.min("one").alias("one")).select("one.*"), "stay")
+    kept = left_lookup(df.select(*key, row.alias("row")), stay, keys, "inner", heavy=heavy(stay, keys, "rows"))
+    once = kept.where("rows = 1").select("row").union(kept.where("rows > 1").groupBy(*keys).agg(F.first("row").alias("row")).select("row"))
+    return once.select(*(F.col(f"row.`{c}`").alias(c) for c in df.columns))

@@ -128,6 +128,23 @@ def test_near_duplicates_as_found_by_hand(spark, radius):
     assert simhash.near_duplicates(documents(spark, [])).count() == 0
 
 
+def test_one_row_of_each_component_stays(spark):
+    draw = random.Random(12)
+    one, two, three = (own_words(draw, 80) for _ in range(3))
+    rows = [(None, one)] * 5 + [(None, one + " x")] + [(7, two), (7, two), (3, two + " y"), (9, None), (8, ""), (4, three), (4, one + " z"), (None, None)]
+    df = documents(spark, rows).selectExpr("*", "1 AS k_id", "map('a', 2) AS rows")
+    got = simhash.one_of_each(df)
+    assert got.columns == df.columns
+    classes = {}
+    prints = [simhash.fingerprint(simhash.shingle_hashes(t or "")) for _, t in rows]
+    for i, p in enumerate(prints):
+        classes.setdefault(min(j for j, q in enumerate(prints) if (p ^ q).bit_count() <= simhash.RADIUS), []).append(rows[i])
+    least = sorted((min((d is None, d or 0) for d, _ in c) for c in classes.values()))
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in got.collect()) == least
+    assert simhash.one_of_each(documents(spark, [(None, one)] * 4)).count() == 1
+    assert simhash.one_of_each(documents(spark, [])).count() == 0
+
+
 def test_large_groups_are_cut_into_tiles(spark):
     draw = np.random.default_rng(4)
     centre = draw.integers(0, 1 << 63, dtype=np.int64)
