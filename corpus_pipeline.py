@@ -30,9 +30,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group. Rows without an id cannot be told apart and stay."""
-    first = simhash.near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns)).union(docs.where("doc_id IS NULL"))
+    """One row of each group: the smallest id, ids before none, then by text."""
+    return simhash.one_of_each(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
