@@ -1,11 +1,11 @@
 """Encoding and decoding with byte-level BPE through a lexicon of frequent words (operator 10).
 
-One pass counts the words (pre-tokens) of all texts. The most frequent, a fixed number, are merged once, compiled into a
+One pass counts the words (pre-tokens) of all texts. The most frequent, at most a fixed number, are merged once, compiled into a
 minimal acyclic transducer with their ids as output, and written to the shared folder; Spark hands the file to every
 executor, whose workers memory-map it. Encoding looks words up in it and merges unseen ones exactly. Which words the
 lexicon holds changes only speed, never ids.
 
-A null text counts as empty and has no ids. Strings of special tokens within a text become that token, as in the
+A null text counts as empty and has no ids; long texts are taken whole. Strings of special tokens within a text become that token, as in the
 tokenizers library. Rows are independent; repeated rows and ids, and extra columns, change nothing; an empty table gives
 an empty result, with an empty lexicon.
 """
@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import functools
 import hashlib
-import heapq
 import re
 import uuid
 from collections import Counter
@@ -27,14 +26,15 @@ from pyspark.sql import functions as F
 
 from millrace.llm.bpe_library import LETTERS, PreTokens
 from millrace.llm.bpe_merge import merges
-from millrace.llm.common import shared_folder, slices, store_of, texts
+from millrace.llm.common import discard, shared_folder, slices, store_of, texts, written
 from millrace.llm.lexicon import Lexicon, compile_lexicon
 from millrace.llm.pieces import PieceIds, coded
 
 #: Words in the lexicon, which bounds its file and the work of compiling it.
 LEXICON_WORDS = 100_000
-#: Distinct words a counting task holds before it lets go of the rarest half. Only speed depends on it.
+#: Distinct pieces a counting task holds before it passes them on.
 HELD_WORDS = 200_000
+#: Letters of the longest piece whose words may be in the lexicon, which bounds its file.
 LONGEST = 64
 BYTES = {ord(c): b for b, c in enumerate(LETTERS)}
 
@@ -45,7 +45,14 @@ def as_bytes(word: str) -> bytes:
 
 
 def word_counts(df: DataFrame) -> DataFrame:
-    """(word, n): words in byte letters with how often they occur, counted in each task and then added up."""
+    """(word, n): words in byte letters with how often they occur. A task passes on what it counted whenever it holds many."""
+
+    def emit(count: Counter[str]) -> pa.RecordBatch:
+        pre, words = PreTokens(), Counter()
+        for piece, n in count.items():
+            for word in pre(piece):
+                words[word] += n
+        return pa.RecordBatch.from_pydict({"word": pa.array(list(words), pa.string()), "n": pa.array(list(words.values()), pa.int64())})
 
     def run(batches):
         count: Counter[str] = Counter()
@@ -55,22 +62,32 @@ def word_counts(df: DataFrame) -> DataFrame:
                 if len(piece) <= LONGEST:
                     count[piece] += n
             if len(count) > HELD_WORDS:
-                count = Counter(dict(heapq.nlargest(HELD_WORDS // 2, count.items(), key=lambda x: (x[1], x[0]))))
-        pre, words = PreTokens(), Counter()
-        for piece, n in count.items():
-            for word in pre(piece):
-                words[word] += n
-        top = heapq.nlargest(LEXICON_WORDS, words.items(), key=lambda x: (x[1], x[0]))
-        yield pa.RecordBatch.from_pydict({"word": pa.array([w for w, _ in top], pa.string()), "n": pa.array([n for _, n in top], pa.int64())})
+                yield emit(count)
+                count = Counter()
+        yield emit(count)
 
     return df.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent_words(counts: DataFrame, size: int) -> list[str]:
+    """The words with the largest counts, of each count all or none: as many counts as give at most `size` words."""
+    # a count that is reached has a word at least, so `size` rows of these are enough
+    by_count = counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.col("n").desc()).limit(size).collect()
+    total, least = 0, None
+    for row in by_count:
+        total += row["words"]
+        if total > size:
+            break
+        least = row["n"]
+    return [] if least is None else [r["word"] for r in counts.where(F.col("n") >= least).select("word").collect()]
+
+
 def build_lexicon(df: DataFrame, tokenizer_path: str, size: int = LEXICON_WORDS) -> str:
-    """Compiles the `size` most frequent words of `df` and gives the file to all executors; returns its name there."""
+    """Compiles the at most `size` most frequent words of `df` and gives the file to all executors; returns its name there."""
     spark: SparkSession = df.sparkSession
-    top = word_counts(df).orderBy(F.col("n").desc(), "word").limit(size).select("word").collect()
-    words = [as_bytes(r["word"]) for r in top]
+    counts = written(word_counts(df), "words")
+    words = sorted(as_bytes(w) for w in frequent_words(counts, size))
+    discard(counts)
     content = compile_lexicon(dict(zip(words, merges(tokenizer_path).merge(words), strict=True)))
     name = f"lexicon-{uuid.uuid4().hex}.bin"
     folder = shared_folder(spark, "lexicon")

@@ -97,6 +97,20 @@ def test_encode_then_decode(spark):
     assert sorted(map(tuple, back.collect()), key=str) == sorted(((d, t or "") for d, t in ROWS), key=str)
 
 
+def test_lexicon_words_are_counted_whole(spark, monkeypatch):
+    texts = ["a b a c", "a b d", "e f", None, "", "w" * 65] * 4
+    df = spark.createDataFrame([(t or "",) for t in texts], "text string").repartition(3)
+    counts = bpe.word_counts(df)
+    want = {r["word"]: r["n"] for r in counts.collect()}
+    assert want["a"] == 8 and "w" * 65 not in want
+    monkeypatch.setattr(bpe, "HELD_WORDS", 1)
+    assert {r["word"]: r["n"] for r in bpe.word_counts(df).collect()} == want
+    for size in range(len(want) + 2):
+        got = bpe.frequent_words(counts, size)
+        assert len(got) <= size and all(want[w] > n for w in got for v, n in want.items() if v not in got)
+    assert sorted(bpe.frequent_words(counts, 100)) == sorted(want)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(texts, min_size=1, max_size=4))
 def test_token_counts_of_pieces(rows):
