@@ -13,6 +13,8 @@ import numpy as np
 from millrace.llm.common import bounds
 
 WORD = 8
+#: Three ranks below this go into one number.
+TRIPLE = 1 << 21
 
 
 class RunLengthIndex:
@@ -22,8 +24,8 @@ class RunLengthIndex:
         self.n = len(text)
         self.start = bounds(sizes)
         left = np.repeat(self.start[1:], sizes) - np.arange(self.n)  # bytes to the end of the own string
-        padded = np.concatenate([text, np.zeros(2 * WORD, np.uint8)])
-        order = self._sorted(padded, left, int(sizes.max()) if len(sizes) else 0)
+        words = self._words(text, left)
+        order = self._sorted(words[: self.n], left, int(sizes.max()) if len(sizes) else 0)
         before = np.concatenate([[-1], text[:-1].astype(np.int64)]) if self.n else np.zeros(0, np.int64)
         first = self.start[:-1]
         before[first] = -1 - np.arange(len(first))  # what stands before a string is like nothing else
@@ -31,67 +33,72 @@ class RunLengthIndex:
         head = np.ones(self.n, bool)
         head[1:] = bwt[1:] != bwt[:-1]
         rows = np.flatnonzero(head)
-        position = order[rows]
-        above = np.where(rows > 0, order[rows - 1], -1)
-        by_place = np.argsort(position, kind="stable")
+        above = np.full(self.n, -2, np.int64)
+        above[order[rows]] = np.where(rows > 0, order[rows - 1], -1)
         #: the samples at run heads, in text order
-        self.sample, self.above = position[by_place], above[by_place]
-        self.shared = self._shared(padded, left, self.sample, self.above)
+        self.sample = np.flatnonzero(above > -2)
+        self.above = above[self.sample]
+        self.shared = self._shared(words, left, self.sample, self.above)
         self.runs = len(rows)
 
     @staticmethod
-    def _sorted(padded: np.ndarray, left: np.ndarray, longest: int) -> np.ndarray:
-        """Suffixes in order; equal ones by place. Ranks by 8 bytes, then by twice as many each time."""
+    def _words(text: np.ndarray, left: np.ndarray) -> np.ndarray:
+        """The next 8 bytes at every position and at 8 more, first byte highest, zero where the own string has ended."""
+        n = len(text)
+        padded = np.concatenate([text, np.zeros(WORD, np.uint8)])
+        out = np.zeros(n + WORD, np.uint64)
+        out[:n] = np.ndarray(n, ">u8", padded, 0, (1,))
+        at = np.flatnonzero(left < WORD)
+        gone = (8 * (WORD - left[at])).astype(np.uint64)
+        out[at] = (out[at] >> gone) << gone
+        return out
+
+    @staticmethod
+    def _sorted(words: np.ndarray, left: np.ndarray, longest: int) -> np.ndarray:
+        """Suffixes in order; equal ones by place. Ranks by 7 bytes, then by three times as many each time.
+
+        Where three ranks do not go into one number, by twice as many.
+        """
         n = len(left)
         if not n:
             return np.zeros(0, np.int64)
-        key = np.zeros(n, np.uint64)
-        for k in range(WORD):
-            byte = padded[k : n + k].astype(np.uint64)
-            byte[left <= k] = 0
-            key = (key << np.uint64(8)) | byte
-        short = np.minimum(left, WORD)
-        order = np.lexsort((short, key))
-        step = (key[order][1:] != key[order][:-1]) | (short[order][1:] != short[order][:-1])
-        depth = WORD
+        depth = WORD - 1
+        # 7 bytes, and how many of them are the string's own
+        key = (words & ~np.uint64(0xFF)) | np.minimum(left, depth).astype(np.uint64)
+        ranks = 3 if n < TRIPLE else 2
         while True:
+            order = np.argsort(key)
+            held = key[order]
             rank = np.empty(n, np.int64)
-            rank[order] = np.concatenate([[1], 1 + np.cumsum(step)])
-            if depth >= longest or rank[order[-1]] == n:
-                return order if rank[order[-1]] == n else np.lexsort((np.arange(n), rank))
-            later = np.zeros(n, np.int64)
-            later[: max(0, n - depth)] = np.where(left[: max(0, n - depth)] > depth, rank[depth:] if depth < n else 0, 0)
-            key = rank * (n + 1) + later
-            order = np.argsort(key, kind="stable")
-            step = key[order][1:] != key[order][:-1]
-            depth *= 2
+            rank[order] = np.cumsum(np.concatenate([[True], held[1:] != held[:-1]]))
+            if rank[order[-1]] == n:
+                return order
+            if depth >= longest:
+                return np.argsort(rank * n + np.arange(n))
+            key = rank.copy()
+            for k in range(1, ranks):
+                key *= n + 1
+                there = n - k * depth
+                if there > 0:
+                    key[:there] += np.where(left[:there] > k * depth, rank[k * depth :], 0)
+            depth *= ranks
 
     @staticmethod
-    def _shared(padded: np.ndarray, left: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    def _shared(words: np.ndarray, left: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """How many bytes the strings at `a` and `b` share, word by word; none where b is -1."""
         out = np.zeros(len(a), np.int64)
-        at = np.flatnonzero(b >= 0)
-        most = np.minimum(left[a[at]], left[b[at]])
-        length = np.zeros(len(at), np.int64)
-        going = np.arange(len(at))
+        going = np.flatnonzero(b >= 0)
+        at, beside = a[going], b[going]
+        most = np.minimum(left[at], left[beside])
+        length = 0
         while going.size:
-            same = padded[a[at[going]] + length[going]] == padded[b[at[going]] + length[going]]
-            same &= length[going] < most[going]
-            going = going[same]
-            # whole words while they are equal, single bytes at the end
-            length[going] += 1
-            while going.size:
-                i, j = a[at[going]] + length[going], b[at[going]] + length[going]
-                fits = length[going] + WORD <= most[going]
-                equal = np.zeros(len(going), bool)
-                f = np.flatnonzero(fits)
-                if not f.size:
-                    break
-                span = np.arange(WORD)
-                equal[f] = (padded[i[f][:, None] + span] == padded[j[f][:, None] + span]).all(axis=1)
-                if not equal.any():
-                    break
-                length[going[equal]] += WORD
-        out[at] = length
+            apart = words[at] ^ words[beside]
+            equal = apart == 0
+            ends = ~equal | (most <= length + WORD)
+            same = np.where(equal, WORD, (apart.astype(">u8").view(np.uint8).reshape(-1, WORD) != 0).argmax(axis=1))
+            out[going[ends]] = np.minimum(length + same[ends], most[ends])
+            going, at, beside, most = going[~ends], at[~ends] + WORD, beside[~ends] + WORD, most[~ends]
+            length += WORD
         return out
 
     def matching_statistics(self) -> tuple[np.ndarray, np.ndarray]:
