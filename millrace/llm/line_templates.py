@@ -10,8 +10,8 @@ Copies are equal texts and near-duplicates by SimHash, as in operator 8; each cl
 size. A line that makes more than half of its document would make unlike documents near-duplicates, so that template is
 counted by what its documents hold besides; and where it recurs, so are the other templates of these documents.
 
-Equal texts are read, counted and judged once, and each row is returned with what its text came to; ids, null or repeated,
-play no part. Lines without a word are neither counted nor removed. Null text counts as empty. Long texts are taken whole,
+Equal texts are read once in a task, counted and judged once, and each row is returned with what its text came to; ids, null
+or repeated, play no part. Only names of lines are moved; words are fetched for the lines that may have a template. Lines without a word are neither counted nor removed. Null text counts as empty. Long texts are taken whole,
 and alone where they are longer than a slice. Other columns are kept as they are, in `row`. An empty table gives an empty
 result. Frequent leaves, lines and words at a place are salted by how often they were counted.
 """
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import discard, heavy, ship, slices, written
-from millrace.llm.simhash import components, fingerprint, links, shingle_hashes
+from millrace.llm.simhash import SHINGLE, components, fingerprint, links, shingle_hashes, shingle_hashes_of
 from millrace.operators.joins import left_lookup
 
 LEADING = 3
@@ -38,6 +38,10 @@ VARIABLE = "<*>"
 #: Names a text.
 KEY = ["k_hash", "k_more"]
 DIGIT = re.compile(r"\d")
+#: Text read at once, or a single one.
+READ_BYTES = 1 << 20
+#: Names of texts that a task holds at most, to read copies once.
+HELD_KEYS = 200_000
 
 
 def masked(line: str) -> list[str]:
@@ -57,27 +61,32 @@ def text_key(text: str) -> tuple[Column, Column]:
     return F.xxhash64(t).alias("k_hash"), F.xxhash64(F.lit(1), t).alias("k_more")
 
 
-def distinct_texts(df: DataFrame, text: str) -> DataFrame:
-    """(k_hash, k_more, text) of the distinct texts, put together in each task before they are shuffled."""
-    t = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    return df.select(*text_key(text), t.alias("text")).groupBy(*KEY).agg(F.first("text").alias("text"))
-
-
 def read_lines(docs: DataFrame) -> DataFrame:
-    """What one reading of each text gives: its fingerprints, and leaf, name, first use and masked words of every line.
+    """What one reading of each text gives: its fingerprints, and leaf, name, number of words and first use of every line.
 
     `longest` is the place of the line that has more than half of all words, or -1; `rest` is the fingerprint without that
     line. A line without a word has leaf 0. `first` is 2 where the text has not had the line before, nor another of its leaf,
-    1 where it has had the leaf only, else 0.
+    1 where it has had the leaf only, else 0. `said` has the masked lines. A task gives each text once.
     """
 
     def run(batches):
-        for part in slices(batches):
-            rows: dict[str, list] = {c: [] for c in ("longest", "whole", "rest", "leaves", "lines", "first", "said")}
-            for text in part.column("text").to_pylist():
-                lines = text.split("\n")
-                words = [masked(line) for line in lines]
+        done: set[tuple[int, int]] = set()
+        for part in slices(batches, limit=READ_BYTES):
+            rows: dict[str, list] = {c: [] for c in ("longest", "whole", "rest", "leaves", "lines", "sizes", "first", "said")}
+            own = []
+            for i, key in enumerate(zip(*(part.column(c).to_pylist() for c in KEY), strict=True)):
+                if key in done:
+                    continue
+                if len(done) >= HELD_KEYS:
+                    done.clear()
+                done.add(key)
+                own.append(i)
+            part = part.take(pa.array(own, pa.int64()))
+            texts = part.column("text").to_pylist()
+            for text, hashes in zip(texts, shingle_hashes_of(texts), strict=True):
+                words = [masked(line) for line in text.split("\n")]
                 said = [" ".join(w) for w in words]
+                sizes = [len(w) for w in words]
                 leaves = [leaf_of(w) if w else 0 for w in words]
                 seen: set[str] = set()
                 met: set[int] = set()
@@ -86,27 +95,40 @@ def read_lines(docs: DataFrame) -> DataFrame:
                     first.append(0 if line in seen else 1 if leaf in met else 2)
                     seen.add(line)
                     met.add(leaf)
-                most = max(range(len(words)), key=lambda i: len(words[i]))
-                most = most if 2 * len(words[most]) > sum(map(len, words)) else -1
-                whole = fingerprint(shingle_hashes(text))
+                most = max(range(len(words)), key=sizes.__getitem__)
+                most = most if 2 * sizes[most] > sum(sizes) else -1
                 rows["longest"].append(most)
-                rows["whole"].append(whole)
-                rows["rest"].append(whole if most < 0 else fingerprint(shingle_hashes("\n".join(lines[:most] + lines[most + 1 :]))))
+                rows["whole"].append(fingerprint(hashes))
+                rows["rest"].append(rows["whole"][-1] if most < 0 else fingerprint(hashes_without(text, most, hashes)))
                 rows["leaves"].append(leaves)
                 rows["lines"].append([xxhash.xxh64_intdigest(line, 2) - (1 << 63) for line in said])
+                rows["sizes"].append(sizes)
                 rows["first"].append(first)
-                rows["said"].append(said)
+                rows["said"].append("\n".join(said))
             prints = {c: pa.array(np.array(rows[c], np.uint64).view(np.int64)) for c in ("whole", "rest")}
-            lists = {c: pa.array(rows[c], pa.list_(kind)) for c, kind in (("leaves", pa.int64()), ("lines", pa.int64()), ("first", pa.int8()), ("said", pa.string()))}
-            columns = {c: part.column(c) for c in KEY} | {"longest": pa.array(rows["longest"], pa.int32())} | prints | lists
-            yield pa.RecordBatch.from_pydict(columns)
+            lists = {c: pa.array(rows[c], pa.list_(kind)) for c, kind in (("leaves", pa.int64()), ("lines", pa.int64()), ("sizes", pa.int32()), ("first", pa.int8()))}
+            yield pa.RecordBatch.from_pydict({c: part.column(c) for c in KEY} | {"longest": pa.array(rows["longest"], pa.int32())} | prints | lists | {"said": pa.array(rows["said"], pa.string())})
 
     return docs.mapInArrow(
         run,
-        "k_hash long, k_more long, longest int, whole long, rest long, leaves array<long>, lines array<long>, first array<byte>, said array<string>",
+        "k_hash long, k_more long, longest int, whole long, rest long, leaves array<long>, lines array<long>, sizes array<int>, first array<byte>, said string",
     )
 
 
+def hashes_without(text: str, place: int, hashes: np.ndarray) -> np.ndarray:
+    """The shingle hashes of a text without one of its lines, from those of the text.
+
+    Only shingles over the gap are new.
+    """
+    lines = text.split("\n")
+    before, line, after = ("\n".join(x).encode().split() for x in (lines[:place], lines[place : place + 1], lines[place + 1 :]))
+    if len(before) + len(after) < 2 * SHINGLE:
+        return shingle_hashes("\n".join(lines[:place] + lines[place + 1 :]))
+    near = b" ".join(before[len(before) - min(len(before), SHINGLE - 1) :] + after[: SHINGLE - 1]).decode()
+    gap = shingle_hashes(near) if before and after else hashes[:0]
+    return np.concatenate([hashes[: max(0, len(before) - SHINGLE + 1)], gap, hashes[len(before) + len(line) :]])
+
+
 def templates(counts: DataFrame, least: int) -> DataFrame:
     """(leaf, line, template) of the lines that have enough constants, from lines with the texts `n` that have them.
 
@@ -146,23 +168,31 @@ def recurring(held: DataFrame) -> DataFrame:
     return once.groupBy("template", "need").count().where("count >= need").select("template")
 
 
-def named_lines(tree: DataFrame, least: int, recurs: int) -> DataFrame:
-    """(k_hash, k_more, place, template, need): the templates of lines that may recur, where they stand."""
+def named_lines(tree: DataFrame, read: DataFrame, least: int, recurs: int) -> DataFrame:
+    """(k_hash, k_more, place, template, need): the templates of lines that may recur, where they stand.
+
+    `tree` has each text once, `read` the lines as they were read.
+    """
     # only lines of leaves that recur can have a template that does
     uses = tree.select(F.explode(F.arrays_zip("leaves", "first")).alias("x")).select(F.col("x.leaves").alias("leaf"), F.col("x.first").alias("first"))
     often = uses.where("leaf <> 0").groupBy("leaf").agg(F.count_if(F.col("first") == 2).alias("texts"), F.count("*").alias("rows"))
     often = written(often.where("texts > 1"), "leaves")
-    at = tree.select(*KEY, F.posexplode(F.arrays_zip("leaves", "lines", "first", "said")).alias("place", "x"))
-    at = at.select(*KEY, "place", F.col("x.leaves").alias("leaf"), F.col("x.lines").alias("line"), F.col("x.first").alias("first"), F.col("x.said").alias("said"))
-    found = left_lookup(at.where("leaf <> 0"), often.select("leaf", "texts"), ["leaf"], "inner", heavy=heavy(often, ["leaf"], "rows"))
+    at = tree.select(*KEY, F.posexplode(F.arrays_zip("leaves", "lines", "sizes", "first")).alias("place", "x"))
+    at = at.select(*KEY, "place", F.col("x.leaves").alias("leaf"), F.col("x.lines").alias("line"), F.col("x.sizes").alias("size"), F.col("x.first").alias("first"))
+    found = left_lookup(at.where("leaf <> 0"), often.select("leaf", "texts"), ["leaf"], "inner", salted=True, heavy=heavy(often, ["leaf"], "rows"))
     found = written(found, "lines")
     counts = found.groupBy("leaf", "line").agg(
-        F.count_if(F.col("first") > 0).alias("n"), F.count("*").alias("rows"), F.max("texts").alias("texts"), F.first("said").alias("said")
+        F.count_if(F.col("first") > 0).alias("n"), F.count("*").alias("rows"), F.max("texts").alias("texts"), F.max("size").alias("size")
     )
     counts = written(counts, "counts")
-    shaped = templates(counts.where(F.col("texts") >= least), least)
-    size = F.size(F.split("said", " "))
-    need = F.when(size >= LONG, min(recurs, least)).otherwise(least)
+    wanted = written(often.where(F.col("texts") >= least).select("leaf"), "like")  # few: of its own size, so that words are not moved
+    said = read.select(F.arrays_zip("leaves", "lines", "first", F.split("said", "\n").alias("said")).alias("x")).select(F.inline("x"))
+    said = said.where("leaves <> 0 AND first > 0").select(F.col("leaves").alias("leaf"), F.col("lines").alias("line"), "said")
+    said = left_lookup(said, wanted, ["leaf"], "inner", heavy=heavy(often, ["leaf"], "rows"))
+    said = said.groupBy("leaf", "line").agg(F.first("said").alias("said"))
+    spoken = written(counts.where(F.col("texts") >= least).select("leaf", "line", "n").join(said, ["leaf", "line"]), "said")
+    shaped = templates(spoken, least)
+    need = F.when(F.col("size") >= LONG, min(recurs, least)).otherwise(least)
     as_it_is = F.when(F.col("n") >= need, F.struct(F.xxhash64(F.lit(1), "leaf", "line").alias("template"), need.alias("need")))
     like = F.when(F.col("template").isNotNull(), F.struct("template", F.lit(least).alias("need")))
     names = counts.join(shaped, ["leaf", "line"], "left").select("leaf", "line", F.array_compact(F.array(as_it_is, like)).alias("names"))
@@ -170,14 +200,17 @@ def named_lines(tree: DataFrame, least: int, recurs: int) -> DataFrame:
     keys = ["leaf", "line"]
     marked = left_lookup(found.select(*KEY, "place", *keys), names, keys, "inner", heavy=heavy(counts, keys, "rows"))
     marked = written(marked.select(*KEY, "place", F.inline("names")), "marked")
-    discard(often, found, counts, shaped, names)
+    discard(often, wanted, found, counts, spoken, shaped, names)
     return marked
 
 
 def dropped_lines(docs: DataFrame, least: int = MIN_SOURCES, recurs: int = RECURS) -> DataFrame:
-    """(k_hash, k_more, places): the lines of each distinct text that are to go."""
-    tree = written(read_lines(docs), "texts")
-    marked = named_lines(tree, least, recurs)
+    """(k_hash, k_more, places): the lines of each distinct text that are to go, from (k_hash, k_more, text) of every row."""
+    read = written(read_lines(docs), "read")
+    once = read.groupBy(*KEY).agg(F.first(F.struct("longest", "whole", "rest", "leaves", "lines", "sizes", "first")).alias("x"))
+    tree = written(once.select(*KEY, "x.*"), "texts")
+    marked = named_lines(tree, read, least, recurs)
+    discard(read)
     first = written(classes(tree.select(*KEY, "longest", "whole", "rest")), "classes")
     discard(tree)
     held = (
@@ -203,9 +236,14 @@ def dropped_lines(docs: DataFrame, least: int = MIN_SOURCES, recurs: int = RECUR
 def without_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = MIN_SOURCES) -> DataFrame:
     """(row, n_lines, n_dropped, kept_text): every row of `df` whole as `row`, with what is left of its text."""
     ship(df.sparkSession)
-    gone = dropped_lines(distinct_texts(df, text), least)
+    own = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    gone = dropped_lines(df.select(*text_key(text), own.alias("text")), least)
     whole = df.select(*text_key(text), F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"))
-    joined = left_lookup(whole, gone, KEY, keys_from=whole.select(*KEY))
+    copies = written(df.select(*text_key(text)).groupBy(*KEY).agg(F.count("*").alias("rows")), "copies")
+    many = written(heavy(copies, KEY, "rows"), "many")
+    discard(copies)
+    # by the shuffle at every size, so that the cost stays in proportion
+    joined = left_lookup(whole, gone, KEY, salted=True, heavy=many)
     t = F.coalesce(F.col(f"row.`{text}`").cast("string"), F.lit(""))
     lines = F.split(t, "\n")
     rest = F.when(F.col("places").isNull(), t).otherwise(F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("places", i)), "\n"))

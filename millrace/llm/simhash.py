@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import heavy, ship, slices, texts, written
+from millrace.llm.common import bounds, heavy, ragged, ship, slices, texts, written
 from millrace.operators.joins import left_lookup
 from millrace.session import durable
 
@@ -33,6 +33,9 @@ SHINGLE = 3
 SEED = 42
 TILE_ROWS = 4096
 TILE = 256
+#: Shingles hashed at once.
+HASHED = 1 << 17
+XXH64_PRIMES = (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
 #: Nodes a group has on average, at most, before nodes are dealt by more bits.
 GROUP_ROWS = 4096
 
@@ -52,6 +55,47 @@ def shingle_hashes(text: str, size: int = SHINGLE) -> np.ndarray:
     return np.fromiter((digest(joined[a:b], SEED) for a, b in pairs), np.uint64, len(words) - size + 1)
 
 
+def xxh64(data: np.ndarray, start: np.ndarray, size: np.ndarray, seed: int = SEED) -> np.ndarray:
+    """XXH64 of many pieces of `data`, which goes on for 8 bytes after the last. Pieces of 32 bytes or more are hashed one by one."""
+    p1, p2, p3, p4, p5 = (np.uint64(p) for p in XXH64_PRIMES)
+    turned = lambda x, n: (x << np.uint64(n)) | (x >> np.uint64(64 - n))
+    eight = np.ndarray(len(data) - 7, "<u8", data, 0, (1,))
+    four = np.ndarray(len(data) - 3, "<u4", data, 0, (1,))
+    h = size.astype(np.uint64) + np.uint64(seed) + p5
+    for k in range(3):
+        some = np.flatnonzero(size >= 8 * k + 8)
+        x = h[some] ^ (turned(eight[start[some] + 8 * k].astype(np.uint64) * p2, 31) * p1)
+        h[some] = turned(x, 27) * p1 + p4
+    some = np.flatnonzero(size & 4)
+    x = h[some] ^ (four[start[some] + (size[some] & ~7)].astype(np.uint64) * p1)
+    h[some] = turned(x, 23) * p2 + p3
+    for k in range(3):
+        some = np.flatnonzero((size & 3) > k)
+        x = h[some] ^ (data[start[some] + (size[some] & ~3) + k].astype(np.uint64) * p5)
+        h[some] = turned(x, 11) * p1
+    h = (h ^ (h >> np.uint64(33))) * p2
+    h = (h ^ (h >> np.uint64(29))) * p3
+    h ^= h >> np.uint64(32)
+    long = np.flatnonzero(size >= 32)
+    h[long] = [xxhash.xxh64_intdigest(data[a : a + n], seed) for a, n in zip(start[long].tolist(), size[long].tolist(), strict=True)]
+    return h
+
+
+def shingle_hashes_of(texts: list[str], size: int = SHINGLE) -> list[np.ndarray]:
+    """`shingle_hashes` of each text, many shingles at once."""
+    words = [t.encode().lower().split() for t in texts]
+    n = np.array([len(w) for w in words], np.int64)
+    data = np.frombuffer(b"\n".join(b" ".join(w) for w in words if w) + b"\n" + bytes(8), np.uint8)
+    ends = np.flatnonzero((data == 32) | (data == 10))
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    many = np.where(n > 0, np.maximum(n - size + 1, 1), 0)
+    at = ragged(bounds(n)[:-1], many)
+    last = at + np.repeat(np.minimum(n, size) - 1, many)
+    blocks = range(0, len(at), HASHED)
+    found = [xxh64(data, starts[at[i : i + HASHED]], ends[last[i : i + HASHED]] - starts[at[i : i + HASHED]]) for i in blocks]
+    return np.split(np.concatenate([np.zeros(0, np.uint64), *found]), bounds(many)[1:-1]) if len(texts) else []
+
+
 def fingerprint(hashes: np.ndarray) -> int:
     if not len(hashes):
         return 0

@@ -1,9 +1,11 @@
-"""The run-length index against a plain search, and how much it sorts."""
+"""Steps inside operators: the run-length index against a plain search, shingles hashed many at once, lines read."""
+
+import random
 
 import numpy as np
 import pytest
 
-from millrace.llm import run_length_index
+from millrace.llm import line_templates, run_length_index, simhash
 from millrace.llm.common import bounds
 from millrace.llm.run_length_index import RunLengthIndex
 
@@ -45,3 +47,27 @@ def test_pieces_of_contexts_take_few_sorts(monkeypatch):
         monkeypatch.setattr(np, name, lambda *a, plain=plain, **k: sorts.append(1) or plain(*a, **k))
     text, sizes = pieces(1, 3000, 176)
     assert RunLengthIndex(text, sizes).runs and len(sorts) <= 5
+
+
+def test_many_shingles_hash_as_one_by_one():
+    draw = random.Random(3)
+    texts = ["", "one", "Two wOrds", *(" ".join("".join(draw.choice("aZ1é\x1c漢") for _ in range(draw.randrange(1, 16))) for _ in range(draw.randrange(9))) for _ in range(400))]
+    got = simhash.shingle_hashes_of(texts)
+    assert all(np.array_equal(a, simhash.shingle_hashes(t)) for a, t in zip(got, texts, strict=True)) and simhash.shingle_hashes_of([]) == []
+    for text in ("a b c\nd\ne f", "\nx\n", "x", "a\nb c d e\nf", "a b\n\x1c \n c é d"):
+        lines = text.split("\n")
+        for i in range(len(lines)):
+            rest = simhash.shingle_hashes("\n".join(lines[:i] + lines[i + 1 :]))
+            assert np.array_equal(line_templates.hashes_without(text, i, simhash.shingle_hashes(text)), rest)
+
+
+def test_words_of_lines_without_template_stay_where_they_are(spark, monkeypatch):
+    rows = [(i, f"alone {i:x} {'abcdefgh'[i % 8]} " + "word " * (i % 5) + f"\nthe same line in every text x{'abc'[i % 3]}") for i in range(400)]
+    said, texts = [], []
+    plain = line_templates.written
+    monkeypatch.setattr(line_templates, "written", lambda df, name: {"said": said, "read": texts}.get(name, []).append(t := plain(df, name)) or t)
+    monkeypatch.setattr(line_templates, "discard", lambda *tables: None)
+    df = spark.createDataFrame(rows * 3, "doc_id long, text string").repartition(4)
+    kept = {r.doc_id: r.n_dropped for r in line_templates.without_lines(df).select("row.doc_id", "n_dropped").collect()}
+    assert len(kept) == 400 and said[0].where("said LIKE 'the same line%'").count() == 3
+    assert texts[0].count() <= 4 * 400 and set(said[0].columns) == {"leaf", "line", "n", "said"}
