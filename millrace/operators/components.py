@@ -25,10 +25,10 @@ def connected(pairs: DataFrame) -> DataFrame:
         seen = edges.join(parents, "b").groupBy(F.col("a").alias("node")).agg(F.min("beside").alias("beside"))
         offered = roots.join(seen, "node").select("node", "root", F.least("root", "beside").alias("low"))
         moved = offered.groupBy(F.col("root").alias("node")).agg(F.min("low").alias("moved"))
-        lowered = offered.select("node", "low").join(moved, "node", "left").select("node", F.least("low", "moved").alias("root"))
+        lowered = offered.join(moved, "node", "left").select("node", F.col("root").alias("was"), F.least("low", "moved").alias("root"))
         # and past the parent
         above = lowered.select(F.col("node").alias("root"), F.col("root").alias("above"))
-        new = stored(lowered.join(above, "root", "left").select("node", F.least("root", "above").alias("root")))
-        if new.join(roots.withColumnRenamed("root", "was"), "node").where("root <> was").isEmpty():
-            return new
-        roots = new
+        new = stored(lowered.join(above, "root", "left").select("node", F.least("root", "above").alias("root"), "was"))
+        roots = new.select("node", "root")
+        if new.where("root <> was").isEmpty():
+            return roots

@@ -78,14 +78,14 @@ def _settle(keyed: DataFrame, keys: list[str], order: Sequence[Column], flag: st
     """
     fixed = number_rows(keyed, order, "_row").withColumnRenamed(flag, "_lost")
     open_rows = fixed.where("NOT _lost").select("_row", *keys)
-    contested = open_rows.select("_row")
-    for key in keys:
-        shared = open_rows.groupBy(key).agg(F.min("_row").alias(f"_lead{key}"), F.count(F.lit(1)).alias("_n"))
-        shared = shared.where((F.col("_n") > 1) & F.col(key).isNotNull()).drop("_n")
-        named = left_lookup(open_rows.select("_row", key), shared, [key]).select("_row", f"_lead{key}")
-        contested = contested.join(named, "_row")
     leads = [f"_lead{key}" for key in keys]
-    rejected = _rejected(stored(contested.where(F.coalesce(*leads).isNotNull())), leads, most)
+    # one row for each key that a row holds, so that all keys are counted, looked up and put together at once
+    cells = F.array(*[F.concat(F.lit(f"{i} "), key) for i, key in enumerate(keys)])
+    held = open_rows.select("_row", F.posexplode(cells).alias("_at", "_held")).where(F.col("_held").isNotNull())
+    shared = held.groupBy("_held").agg(F.min("_row").alias("_lead"), F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).drop("_n")
+    named = left_lookup(held, shared, ["_held"], "inner")
+    contested = named.groupBy("_row").agg(*[F.max(F.when(F.col("_at") == i, F.col("_lead"))).alias(lead) for i, lead in enumerate(leads)])
+    rejected = _rejected(stored(contested), leads, most)
     marked = fixed.join(rejected.withColumn("_out", F.lit(True)), "_row", "left")
     return marked.withColumn(flag, F.col("_lost") | F.coalesce("_out", F.lit(False))).drop("_row", "_lost", "_out", *keys)
 
