@@ -81,11 +81,13 @@ class LibraryIds:
         self.special = [t["content"] for t in spec["added_tokens"] if t["content"]]
         self.vocab_size = self.tokenizer.get_vocab_size()
         self.words: dict[str, list[int]] = {}
+        #: One object for each id: those of kept words would take more memory than the words.
+        self.ids = list(range(1 + max(self.tokenizer.get_vocab().values())))
 
     def __call__(self, pieces: list[str]) -> list[list[int]]:
         if len(self.words) > KEPT_WORDS:
             self.words.clear()
-        tokenize, pre, words, out = self.tokenizer.model.tokenize, self.pre, self.words, []
+        tokenize, pre, words, known, out = self.tokenizer.model.tokenize, self.pre, self.words, self.ids, []
         together = "\0".join(pieces)
         special = [s for s in self.special if s in together]
         del together
@@ -97,7 +99,7 @@ class LibraryIds:
             for word in pre(piece):
                 got = words.get(word)
                 if got is None:
-                    got = [t.id for t in tokenize(word)]
+                    got = [known[t.id] for t in tokenize(word)]
                     if len(word) <= 32:
                         words[word] = got
                 ids += got

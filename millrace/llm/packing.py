@@ -23,6 +23,8 @@ from millrace.llm.common import slices, texts, written
 
 OPEN_BINS = 1024
 GROUP_TOKENS = 64 << 20
+#: Text encoded at once, or a single one: larger slices repeat more pieces, which is quicker, and take more of a worker's memory.
+READ_BYTES = 4 << 20
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, row long"
 PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
@@ -72,7 +74,7 @@ def pieces(df: DataFrame, tokenizer_path: str, end_id: int, capacity: int, doc_i
 
     def run(batches):
         row = 0
-        for part in slices(batches):
+        for part in slices(batches, limit=READ_BYTES):
             ids, at = library_ids(tokenizer_path).encode(part.column("text"))
             out: list[list] = [[], [], [], [], [], []]
             for key, a, b in zip(part.column("doc_id").to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
@@ -85,6 +87,7 @@ def pieces(df: DataFrame, tokenizer_path: str, end_id: int, capacity: int, doc_i
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x, kind) for x, kind in zip(out, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32", "row"]
             )
+            pa.default_memory_pool().release_unused()  # a worker lives on, beside the next stage's
 
     return texts(df, doc_id, text).mapInArrow(run, PIECES)
 

@@ -25,6 +25,9 @@ WHOLE = re.compile(f"[{OTHER_SPACE}]")
 #: Texts that the quick way, cutting at every space and line end, would cut wrongly.
 UNEVEN = "[ \\n][ \\n]|[\\x00\\t\\x0b-\\r" + OTHER_SPACE + "]"
 
+#: Pieces solved, or written out as ids, at once: what that needs besides does not grow with the batch.
+AT_ONCE = 1 << 16
+
 
 def cut(text: str) -> list[str]:
     return [text] if WHOLE.search(text) else PIECES.findall(text)
@@ -43,7 +46,9 @@ def coded(column: pa.Array, cut: Callable[[str], list[str]] = cut, uneven: str =
     even = column.filter(pa.array(~odd)) if odd.any() else column
     marked = pc.replace_substring(pc.replace_substring(even, "\n", "\0\n"), " ", "\0 ")
     lists = pc.split_pattern(marked, "\0")
+    del marked
     flat, sizes = lists.flatten(), np.diff(np.asarray(lists.offsets, dtype=np.int64))
+    del lists
     if odd.any():
         cuts = [cut(t) for t in column.filter(pa.array(odd)).to_pylist()]
         flat = pa.concat_arrays([flat, pa.array([p for c in cuts for p in c], pa.large_string())])
@@ -52,6 +57,7 @@ def coded(column: pa.Array, cut: Callable[[str], list[str]] = cut, uneven: str =
         starts = bounds(sizes)[:-1][order]
         sizes = sizes[order]
     named = flat.dictionary_encode()
+    del flat
     codes = np.asarray(named.indices, dtype=np.int64)
     if odd.any():
         codes = codes[ragged(starts, sizes)]
@@ -79,10 +85,12 @@ class PieceIds:
         start[old], size[old] = self.start[found[old]], self.size[found[old]]
         if not new.size:
             return self.flat, start, size
-        solved = self.solve([values[i] for i in new])
-        sizes = np.fromiter(map(len, solved), np.int64, len(solved))
-        fresh = np.fromiter(itertools.chain.from_iterable(solved), np.uint32, int(sizes.sum()))
-        flat = np.concatenate([self.flat, fresh])
+        flats, counts = [self.flat], []
+        for at in range(0, len(new), AT_ONCE):
+            solved = self.solve([values[i] for i in new[at : at + AT_ONCE]])
+            counts.append(np.fromiter(map(len, solved), np.int64, len(solved)))
+            flats.append(np.fromiter(itertools.chain.from_iterable(solved), np.uint32, int(counts[-1].sum())))
+        flat, sizes = np.concatenate(flats), np.concatenate(counts)
         start[new], size[new] = bounds(sizes)[:-1] + len(self.flat), sizes
         # what one batch repeats, later ones are likely to have again
         again = new[np.bincount(pieces.codes, minlength=len(values))[new] > 1]
@@ -102,6 +110,9 @@ class PieceIds:
         """(ids of all rows one after another, where each row's ids begin and the last ones end)."""
         pieces = coded(column)
         flat, start, size = self.spans(pieces)
-        of_piece = size[pieces.codes]
-        ids = flat[ragged(start[pieces.codes], of_piece)]
-        return ids, bounds(of_piece)[bounds(pieces.sizes)]
+        ends = bounds(size[pieces.codes])
+        ids = np.empty(ends[-1], np.uint32)
+        for at in range(0, len(pieces.codes), AT_ONCE):
+            codes = pieces.codes[at : at + AT_ONCE]
+            ids[ends[at] : ends[at + len(codes)]] = flat[ragged(start[codes], size[codes])]
+        return ids, ends[bounds(pieces.sizes)]

@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 from hashlib import sha256
 
@@ -10,7 +11,7 @@ from hypothesis import strategies as st
 from public_tokenizers import path
 from tokenizers import Tokenizer
 
-from millrace.llm import bpe, packing, token_counts, token_records
+from millrace.llm import bpe, packing, pieces, token_counts, token_records
 from millrace.llm.bpe_library import library_ids
 from millrace.llm.bpe_merge import merges
 from millrace.llm.checksums import crc32c, masked
@@ -41,6 +42,22 @@ def test_pieces_give_the_library_s_ids(rows):
     assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [ids_of(t) for t in rows]
 
 
+def test_encoding_needs_little_beside_its_ids(monkeypatch):
+    # bytes of numpy and Python for each piece: its code, its end and its id are 20
+    column = pa.array(["a b c d " * 125_000], pa.string())
+    library_ids(BYTE).encode(column.slice(0, 0))
+    tracemalloc.start()
+    ids, _ = library_ids(BYTE).encode(column)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 36 * len(ids)
+    monkeypatch.setattr(pieces, "AT_ONCE", 3)
+    rows = [t or "" for _, t in ROWS]
+    library_ids(BYTE).clear()
+    ids, at = library_ids(BYTE).encode(pa.array(rows, pa.string()))
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [ids_of(t) for t in rows]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(texts, min_size=1, max_size=4))
 def test_lexicon_and_merging_give_the_library_s_ids(tmp_path_factory, rows):
